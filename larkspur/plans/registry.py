@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from larkspur.plans import general
+from larkspur.plans import forum, forum_sql, general
 
-MODULES = (general,)
+MODULES = (general, forum)
 
 
 def queries() -> dict:
@@ -12,4 +12,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return {name: text for module in MODULES for name, text in module.SQL.items()}
+    return general.SQL | forum_sql.SQL
