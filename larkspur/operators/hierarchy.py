@@ -5,20 +5,21 @@ chunks, and each chunk is solved with array operations: leaves are peeled until
 an Euler tour (an enter and an exit event per node) is linked over the forest, and pointer doubling ranks that list.
 Ranks give entry and exit intervals; those give depth, root, number of descendants and, where asked for, paths.
 
-A group too large for a chunk (``max_group_rows``) goes through ancestor doubling over joins instead: each round doubles
-the distance every unfinished node looks upward, so a tree of depth d takes log2(d) rounds over ever fewer rows, and no
-task holds more than its share of the group. Both ways give the same result.
+A group too large for a chunk (``max_group_rows``) has its tours linked and ranked by joins instead, so no task holds
+more than its share of it. Both ways give the same result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from larkspur.scratch import materialize
 
@@ -57,17 +58,17 @@ def loop_minimum(parent: np.ndarray, on_loop: np.ndarray, rank: np.ndarray) -> n
     return out
 
 
-def euler_ranks(parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Entry and exit positions of each node in the tour of its tree; ``parent`` must be free of loops.
+def euler_ranks(parent: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many events follow the entry and the exit of each node in the tour of its tree; ``parent`` must have no loops.
 
     Events 2v (enter) and 2v+1 (exit) form one linked list per tree: enter goes to the first child or the own exit, exit
-    to the next sibling or the parent's exit. Doubling counts the events that follow each one.
+    to the next sibling (by ``place``) or the parent's exit. Doubling counts the events that follow each one.
     """
     n = len(parent)
     step = np.empty(2 * n, np.int64)
     step[0::2] = np.arange(1, 2 * n, 2)
     child = np.flatnonzero(parent >= 0)
-    child = child[np.argsort(parent[child], kind="stable")]
+    child = child[np.lexsort((place[child], parent[child]))]
     up = parent[child]
     first = np.ones(len(child), bool)
     first[1:] = up[1:] != up[:-1]
@@ -90,7 +91,7 @@ def euler_ranks(parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return follow[0::2], follow[1::2]
 
 
-def solve(ids: np.ndarray, parents: np.ndarray, with_path: bool) -> dict[str, np.ndarray]:
+def solve(ids: np.ndarray, parents: np.ndarray, slots: np.ndarray, with_path: bool) -> dict[str, np.ndarray]:
     """All hierarchy columns of one chunk of whole trees; ``parents`` holds ids, None where there is no parent row."""
     n = len(ids)
     index = pd.Index(ids)
@@ -100,7 +101,9 @@ def solve(ids: np.ndarray, parents: np.ndarray, with_path: bool) -> dict[str, np
     order[np.argsort(ids, kind="stable")] = np.arange(n)
     least = loop_minimum(parent, on_loop, order)
     above = np.where(on_loop, -1, parent)
-    before_enter, before_exit = euler_ranks(above)
+    place = np.empty(n, np.int64)
+    place[np.lexsort((order, slots))] = np.arange(n)
+    after_enter, after_exit = euler_ranks(above, place)
 
     # A tree's tour has 2 * size events; its root's enter is followed by 2 * size - 1 others.
     root = np.where(above < 0, np.arange(n), above)
@@ -109,8 +112,8 @@ def solve(ids: np.ndarray, parents: np.ndarray, with_path: bool) -> dict[str, np
         if (further == root).all():
             break
         root = further
-    length = before_enter[root] + 1
-    enter, leave = length - 1 - before_enter, length - 1 - before_exit
+    length = after_enter[root] + 1
+    enter, leave = length - 1 - after_enter, length - 1 - after_exit
     below = (leave - enter - 1) // 2
 
     # Depth is the number of open intervals at an entry: a running sum of +1 and -1 along each tour.
@@ -142,7 +145,7 @@ def _chunks(chunk_rows: int, with_path: bool, only_loops: bool):
         whole = pa.concat_tables(tables)
         if not whole.num_rows:
             return
-        columns = solve(whole["id"].to_numpy(zero_copy_only=False), whole["parent"].to_numpy(zero_copy_only=False), with_path)
+        columns = solve(whole["id"].to_numpy(zero_copy_only=False), whole["parent"].to_numpy(zero_copy_only=False), whole["slot"].to_numpy(), with_path)
         if only_loops:
             kept = np.flatnonzero(columns["cycle_id"] != None)  # noqa: E711
             columns = {k: v[kept] for k, v in columns.items()}
@@ -154,7 +157,7 @@ def _chunks(chunk_rows: int, with_path: bool, only_loops: bool):
         held: list[pa.Table] = []
         rows = 0
         for batch in batches:
-            table = pa.table({c: batch.column(c) for c in ("grp", "id", "parent")})
+            table = pa.table({c: batch.column(c) for c in ("grp", "id", "parent", "slot")})
             groups = table["grp"].to_numpy(zero_copy_only=False)
             if rows + table.num_rows >= chunk_rows and table.num_rows:
                 # Cut where the last group of this batch begins; with one group throughout, at the batch's start at most.
@@ -190,48 +193,89 @@ def _merge_groups(links: DataFrame, name: str) -> DataFrame:
             return labels
 
 
-def _ancestor_doubling(nodes: DataFrame, with_path: bool, name: str) -> DataFrame:
-    """The same columns by joins alone, for groups no task should hold; ``nodes`` has ``id, parent`` (NULL at a root).
+def _cut_loops(nodes: DataFrame, name: str) -> DataFrame:
+    """``id, parent, slot, cycle_id`` with loop edges cut; ``cycle_id`` is set on loop nodes only.
 
-    Loops are found first: a node with an ancestor left after 2^k >= nodes steps hangs on or below one. Loop edges are
-    cut, then each round adds what lies one doubled distance away: depth and path upward, counts of descendants downward.
-    Entry and exit follow from the order of whole paths and the counts, and are left NULL here.
+    Peeling by joins would take a round per layer; here each round doubles how far every unfinished node looks upward, and
+    nodes that reach a root drop out. What has an ancestor left after as many steps as there are nodes never ends, and the
+    ancestors so reached are the loops.
     """
-    rounds = max(1, nodes.count().bit_length())
-    base = materialize(nodes.select("id", "parent"), f"{name}-nodes")
-
-    active = base.filter(F.col("parent").isNotNull()).select("id", F.col("parent").alias("anc"), F.least("id", "parent").alias("low"))
-    for _ in range(rounds):
+    active = nodes.filter(F.col("parent").isNotNull()).select("id", F.col("parent").alias("anc"), F.least("id", "parent").alias("low"))
+    for _ in range(max(1, nodes.count().bit_length())):
         far = active.select(F.col("id").alias("anc"), F.col("anc").alias("next"), F.col("low").alias("low2"))
         active = materialize(active.join(far, "anc").select("id", F.col("next").alias("anc"), F.least("low", "low2").alias("low")), f"{name}-loops")
         if active.isEmpty():
             break
-    # After more steps than nodes every ancestor reached lies on a loop, and every loop node is reached from itself.
     on_loop = active.select(F.col("anc").alias("id")).distinct()
     looped = active.join(on_loop, "id").select("id", F.col("low").alias("cycle_id"))
-    base = materialize(base.join(looped, "id", "left"), f"{name}-cut")
-
-    cut = F.when(F.col("cycle_id").isNull(), F.col("parent"))
-    done = base.filter(cut.isNull()).select("id", F.col("id").alias("root"), F.lit(0).alias("depth"), F.col("id").alias("path"))
-    own_path = (lambda a, b: F.concat_ws("/", a, b)) if with_path else (lambda a, b: F.lit(None).cast("string"))
-    active = base.filter(cut.isNotNull()).select("id", cut.alias("anc"), F.lit(1).alias("steps"), F.col("id").alias("path"))
-    counts = base.select("id", F.lit(1).cast("long").alias("below"))  # itself and descendants nearer than the distance
-    for _ in range(rounds):
-        gained = active.join(counts, "id").groupBy(F.col("anc").alias("id")).agg(F.sum("below").alias("more"))
-        counts = materialize(counts.join(gained, "id", "left").select("id", (F.col("below") + F.coalesce("more", F.lit(0))).alias("below")), f"{name}-counts")
-        ended = done.select(F.col("id").alias("anc"), "root", F.col("depth").alias("d2"), F.col("path").alias("p2"))
-        onward = active.select(F.col("id").alias("anc"), F.col("anc").alias("next"), F.col("steps").alias("s2"), F.col("path").alias("p2"))
-        finished = active.join(ended, "anc").select("id", "root", (F.col("steps") + F.col("d2")).alias("depth"), own_path(F.col("p2"), F.col("path")).alias("path"))
-        rest = active.join(onward, "anc").select("id", F.col("next").alias("anc"), (F.col("steps") + F.col("s2")).alias("steps"), own_path(F.col("p2"), F.col("path")).alias("path"))
-        done = materialize(done.unionByName(finished), f"{name}-done")
-        active = materialize(rest, f"{name}-active")
+    return materialize(nodes.join(looped, "id", "left").select("id", F.when(F.col("cycle_id").isNull(), F.col("parent")).alias("parent"), "slot", "cycle_id"), f"{name}-cut")
+
+
+def _tours_by_joins(base: DataFrame, name: str) -> DataFrame:
+    """``id, root, depth, n_descendants, entry, exit`` by Euler tours whose list is ranked by joins.
+
+    The children of a parent are linked within 64 hash slots and then slot to slot, so no task sorts all the children of
+    one parent. In each round an event skips to the event that its next one points at, adding up how many events and how
+    many levels lie between; a tour of n events takes log2(n) rounds.
+    """
+    kids = base.filter(F.col("parent").isNotNull())
+    near = materialize(kids.select("id", "parent", "slot", F.lead("id").over(Window.partitionBy("parent", "slot").orderBy("id")).alias("sibling")), f"{name}-siblings")
+    heads = near.groupBy("parent", "slot").agg(F.min("id").alias("head"))
+    turn = heads.select("parent", "slot", F.lead("head").over(Window.partitionBy("parent").orderBy("slot")).alias("sibling"))  # at most one row per slot
+    last = near.filter(F.col("sibling").isNull()).drop("sibling").join(turn, ["parent", "slot"])
+    siblings = near.filter(F.col("sibling").isNotNull()).unionByName(last).select("id", "sibling")
+    firsts = heads.groupBy(F.col("parent").alias("id")).agg(F.min_by("head", "slot").alias("child"))
+    linked = base.join(siblings, "id", "left").join(firsts, "id", "left")
+
+    onward = lambda i, s: F.struct(i.alias("i"), F.lit(s).alias("s"))
+    leave = F.when(F.col("sibling").isNotNull(), onward(F.col("sibling"), 0)).when(F.col("parent").isNotNull(), onward(F.col("parent"), 1))
+    enter = F.when(F.col("child").isNotNull(), onward(F.col("child"), 0)).otherwise(onward(F.col("id"), 1))
+    events = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.lit(1).alias("level"), enter.alias("to")), F.struct(F.lit(1).alias("side"), F.lit(-1).alias("level"), leave.alias("to")))).alias("e")
+    started = linked.select("id", events).select("id", "e.side", F.lit(1).cast("long").alias("n"), F.col("e.level").alias("level"), F.col("e.to.i").alias("nid"), F.col("e.to.s").alias("nside"))
+    active = materialize(started, f"{name}-tour")
+    done = [active.filter(F.col("nid").isNull()).select("id", "side", "n", "level", F.col("id").alias("root"))]
+    active = active.filter(F.col("nid").isNotNull())
+    while True:
+        ended = reduce(DataFrame.unionByName, done)
+        targets = ended.unionByName(active, allowMissingColumns=True).select(
+            F.col("id").alias("nid"), F.col("side").alias("nside"), F.col("n").alias("n2"), F.col("level").alias("level2"), "root", F.col("nid").alias("nid2"), F.col("nside").alias("nside2")
+        )
+        skipped = active.join(targets, ["nid", "nside"]).select("id", "side", (F.col("n") + F.col("n2")).alias("n"), (F.col("level") + F.col("level2")).alias("level"), F.col("nid2").alias("nid"), F.col("nside2").alias("nside"), "root")
+        step = materialize(skipped, f"{name}-tour")
+        done.append(step.filter(F.col("root").isNotNull()).select("id", "side", "n", "level", "root"))
+        active = step.filter(F.col("root").isNull()).drop("root")
         if active.isEmpty():
             break
-    tops = looped.select(F.col("id").alias("root"), "cycle_id")
-    out = done.join(base.select("id", "parent"), "id").join(counts, "id").join(tops, "root", "left")
-    none = F.lit(None).cast("long")
-    path = F.col("path") if with_path else F.lit(None).cast("string")
-    return out.select("id", "parent", "root", F.col("depth").cast("int").alias("depth"), (F.col("below") - 1).alias("n_descendants"), none.alias("entry"), none.alias("exit"), path.alias("path"), "cycle_id")
+    side = lambda s, c: F.max(F.when(F.col("side") == s, F.col(c)))
+    ranks = reduce(DataFrame.unionByName, done).groupBy("id", "root").agg((side(0, "n") - 1).alias("after_enter"), (side(1, "n") - 1).alias("after_exit"), (-side(0, "level")).cast("int").alias("depth"))
+    ranks = materialize(ranks, f"{name}-ranks")
+    lengths = ranks.filter("id = root").select("root", F.col("after_enter").alias("_last"))
+    return ranks.join(lengths, "root").select(
+        "id", "root", "depth", F.expr("(after_enter - after_exit - 1) div 2").alias("n_descendants"), (F.col("_last") - F.col("after_enter")).alias("entry"), (F.col("_last") - F.col("after_exit")).alias("exit")
+    )
+
+
+def _paths_by_doubling(base: DataFrame, name: str) -> DataFrame:
+    """``id, path``: each round joins to the path of a node that of the ancestor where it stops."""
+    done = [base.filter(F.col("parent").isNull()).select("id", F.col("id").alias("path"))]
+    active = base.filter(F.col("parent").isNotNull()).select("id", F.col("parent").alias("anc"), F.col("id").alias("path"))
+    while True:
+        ended = reduce(DataFrame.unionByName, done)
+        above = ended.unionByName(active, allowMissingColumns=True).select(F.col("id").alias("anc"), F.col("anc").alias("next"), F.col("path").alias("front"))
+        step = materialize(active.join(above, "anc").select("id", F.col("next").alias("anc"), F.concat_ws("/", "front", "path").alias("path")), f"{name}-paths")
+        done.append(step.filter(F.col("anc").isNull()).select("id", "path"))
+        active = step.filter(F.col("anc").isNotNull())
+        if active.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+
+
+def _solve_large(nodes: DataFrame, with_path: bool, name: str) -> DataFrame:
+    """The hierarchy columns by joins alone, for groups that no task should hold."""
+    base = _cut_loops(nodes, name)
+    out = _tours_by_joins(base, name).join(nodes.select("id", "parent"), "id")
+    out = out.join(base.filter(F.col("cycle_id").isNotNull()).select(F.col("id").alias("root"), "cycle_id"), "root", "left")
+    out = out.join(_paths_by_doubling(base, name), "id") if with_path else out.withColumn("path", F.lit(None).cast("string"))
+    return out.select("id", "parent", "root", "depth", "n_descendants", "entry", "exit", "path", "cycle_id")
 
 
 def hierarchy(
@@ -246,7 +290,8 @@ def hierarchy(
     node count once (least parent where they differ), rows without id are dropped, ids are compared byte by byte, an
     empty table gives no rows, and other columns are never read. ``only_loops`` keeps just the rows with a ``cycle_id``.
 
-    ``max_group_rows`` bounds what a task holds; larger groups have NULL ``entry`` and ``exit``.
+    Siblings are toured in the order of a hash slot, then of their ids. ``max_group_rows`` bounds what a task holds; larger
+    groups take more rounds, with the same result.
     """
     spark = df.sparkSession
     inner = F.when(F.col(parent).startswith(prefix), F.expr(f"substring(`{parent}`, {len(prefix) + 1})"))
@@ -257,16 +302,16 @@ def hierarchy(
     wanted = nodes.filter(F.col("parent").isNotNull()).groupBy("parent", F.col("grp").alias("a")).agg(F.lit(1).alias("one"))
     stray = wanted.join(nodes.select(F.col("id").alias("parent"), F.col("grp").alias("b")), "parent").filter(F.col("a") != F.col("b")).select("a", "b")
     labels = _merge_groups(stray, "tree")
-    placed = nodes.join(labels, "grp", "left").select("id", "parent", F.coalesce("label", "grp").alias("grp"))
+    placed = nodes.join(labels, "grp", "left").select("id", "parent", F.coalesce("label", "grp").alias("grp"), F.pmod(F.xxhash64("id"), F.lit(64)).cast("int").alias("slot"))
     sizes = placed.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_group_rows)
     large = materialize(sizes.select("grp"), "tree-large-groups")
     any_large = not large.isEmpty()
     normal = placed.join(large, "grp", "left_anti") if any_large else placed
     out = normal.repartition("grp").sortWithinPartitions("grp").mapInArrow(_chunks(max_group_rows, with_path, only_loops), FIELDS)
     if any_large:
-        hot = materialize(placed.join(large, "grp", "left_semi").select("id", "parent"), "tree-large")
+        hot = placed.join(large, "grp", "left_semi").select("id", "parent", "slot")
         known = hot.select(F.col("id").alias("parent"), F.lit(True).alias("_known"))
-        hot = hot.join(known, "parent", "left").select("id", F.when(F.col("_known"), F.col("parent")).alias("parent"))
-        far = _ancestor_doubling(hot, with_path, "tree-large")
+        hot = materialize(hot.join(known, "parent", "left").select("id", F.when(F.col("_known"), F.col("parent")).alias("parent"), "slot"), "tree-large")
+        far = _solve_large(hot, with_path, "tree-large")
         out = out.unionByName(far.filter(F.col("cycle_id").isNotNull()) if only_loops else far)
     return out

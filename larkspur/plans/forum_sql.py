@@ -142,8 +142,8 @@ SELECT subreddit, period, round(c, 1) AS current, round(p, 1) AS previous, round
     "analog_window": f"""WITH {_STANDING}, rows AS (SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY date) AS i FROM scores),
 ends AS (SELECT subreddit, date, upto, i, greatest(-3.0, least(3.0, (volume_z + sentiment_z) / 2)) AS v, count(volume_z) OVER w AS nv, count(sentiment_z) OVER w AS ns, min(date) OVER w AS start FROM rows WINDOW w AS (PARTITION BY subreddit ORDER BY date ROWS 29 PRECEDING)),
 now AS (SELECT subreddit, i FROM ends WHERE date = upto AND nv = 30 AND ns = 30),
-latest AS (SELECT r.subreddit, n.i - r.i AS o, r.volume_z AS nv, r.sentiment_z AS ns FROM rows r JOIN now n ON n.subreddit = r.subreddit WHERE r.i BETWEEN n.i - 29 AND n.i),
-gaps0 AS (SELECT r.subreddit, r.i + l.o AS i, sqrt(sum((r.volume_z - l.nv) ** 2 + (r.sentiment_z - l.ns) ** 2) / 60) AS d FROM rows r JOIN latest l ON l.subreddit = r.subreddit GROUP BY r.subreddit, r.i + l.o HAVING count(r.volume_z + r.sentiment_z) = 30),
+newest_days AS (SELECT r.subreddit, n.i - r.i AS o, r.volume_z AS nv, r.sentiment_z AS ns FROM rows r JOIN now n ON n.subreddit = r.subreddit WHERE r.i BETWEEN n.i - 29 AND n.i),
+gaps0 AS (SELECT r.subreddit, r.i + l.o AS i, sqrt(sum((r.volume_z - l.nv) ** 2 + (r.sentiment_z - l.ns) ** 2) / 60) AS d FROM rows r JOIN newest_days l ON l.subreddit = r.subreddit GROUP BY r.subreddit, r.i + l.o HAVING count(r.volume_z + r.sentiment_z) = 30),
 gaps AS (SELECT e.subreddit, e.date, e.start, e.v, g.d FROM gaps0 g JOIN ends e ON e.subreddit = g.subreddit AND e.i = g.i WHERE e.date <= e.upto - 60)
 SELECT subreddit, start, date AS "end", {_BAND.format('v')} AS band, round(1 / (1 + d), 3) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY round(d, 12), date) AS rn FROM gaps) WHERE rn = 1""",
     "rebase_100": f"""WITH {_SERIES}, kept AS (SELECT subreddit, date, (num_posts + num_comments)::DOUBLE AS items FROM series WHERE date >= DATE '2023-01-01')
