@@ -57,7 +57,8 @@ def associations(df: DataFrame, keys: list[str], items: str, chunk: int = 64) ->
     total = baskets.agg(F.sum("weight").alias("n_all"))
     a = single.select(F.col("item").alias("item_a"), F.col("n").alias("n_a"))
     b = single.select(F.col("item").alias("item_b"), F.col("n").alias("n_b"))
-    return pair_counts(baskets, chunk).join(a, "item_a").join(b, "item_b").join(F.broadcast(total))  # total is one row
+    scored = pair_counts(baskets, chunk).join(a, "item_a").join(b, "item_b").join(F.broadcast(total))  # total is one row
+    return scored.select("item_a", "item_b", "n_ab", "n_a", "n_b", "n_all")
 
 
 def product(x: str, y: str, times: int = 1) -> Column:

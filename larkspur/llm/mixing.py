@@ -4,7 +4,7 @@ Document rates are the closest ones to one copy each, in relative entropy, that
 within its repeats: ``min(cap, exp(lambda * tokens / mean))`` with one multiplier per source, the root of the convex
 dual. Newton steps for all sources are taken together; a step is one aggregate over the documents that returns two
 numbers per source. Rates are rounded to copies by a hashed draw whose threshold is then set, per source, so that the
-copies' tokens meet the total as closely as single documents allow.
+copies' tokens come just under the total, and the largest documents that fit fill up the rest.
 """
 
 from __future__ import annotations
@@ -109,7 +109,7 @@ def _rated(sizes: DataFrame, live: dict[str, Source]) -> DataFrame:
 
 
 def _settle(rated: DataFrame, live: dict[str, Source]) -> None:
-    """Set each source's shift so that the copies' tokens come closest to its need: two histograms of the edges."""
+    """Set each source's shift to the last edge at which the copies' tokens stay within its need, by histograms of the edges."""
     for r in rated.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("base")).alias("t")).collect():
         live[r["source"]].rest = live[r["source"]].need - r["t"]
     width = 2.0 / GRID
@@ -132,7 +132,22 @@ def _settle(rated: DataFrame, live: dict[str, Source]) -> None:
                 s.over = math.inf
         width /= GRID
     for s in live.values():
-        s.shift = s.start + (width * GRID if s.over - s.rest < s.rest else 0.0)
+        s.shift = s.start
+
+
+def _top_up(rated: DataFrame, live: dict[str, Source], passes: int = 2) -> DataFrame:
+    """``doc_id`` of at most ``passes`` documents per source that fill what the shift left short: each time the largest
+    one that still fits."""
+    spark, doc_type = rated.sparkSession, rated.schema["doc_id"].dataType.simpleString()
+    picked: list = []
+    for _ in range(passes):
+        free = rated.filter((F.col("edge") >= _lookup(live, lambda s: s.shift)) & (F.col("edge") < 2.0) & (F.col("n_tokens") > 0) & (F.col("n_tokens") <= _lookup(live, lambda s: s.rest)))
+        if picked:
+            free = free.join(F.broadcast(spark.createDataFrame([(x,) for x in picked], f"doc_id {doc_type}")), "doc_id", "left_anti")
+        for r in free.groupBy("source").agg(F.max(F.struct("n_tokens", -F.col("edge"), "doc_id")).alias("b")).collect():
+            live[r["source"]].rest -= r["b"]["n_tokens"]
+            picked.append(r["b"]["doc_id"])
+    return spark.createDataFrame([(x, True) for x in picked], f"doc_id {doc_type}, _more boolean")
 
 
 def mix(sizes: DataFrame, targets: DataFrame, budget: float | None = None) -> DataFrame:
@@ -147,8 +162,9 @@ def mix(sizes: DataFrame, targets: DataFrame, budget: float | None = None) -> Da
         return sizes.select("doc_id", "source", "n_tokens").filter(F.lit(False)).withColumns({"rate": F.lit(0.0), "copies": F.lit(0).cast("long")})
     rated = _rated(sizes, live)
     _settle(rated, live)
-    extra = (F.col("edge") < _lookup(live, lambda s: s.shift)).cast("long")
-    out = rated.withColumn("copies", F.col("base") + extra).filter(F.col("copies") > 0)
+    more = _top_up(rated, live)
+    extra = ((F.col("edge") < _lookup(live, lambda s: s.shift)) | F.col("_more").isNotNull()).cast("long")
+    out = rated.join(F.broadcast(more), "doc_id", "left").withColumn("copies", F.col("base") + extra).filter(F.col("copies") > 0)
     return out.select("doc_id", "source", "n_tokens", F.round("rate", 6).alias("rate"), "copies")
 
 

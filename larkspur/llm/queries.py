@@ -52,11 +52,15 @@ def p10_spans(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_spans(table(spark, d, "documents"))
 
 
+def p10_factors(spark: SparkSession, d: str) -> DataFrame:
+    return spans.factors(table(spark, d, "documents"))
+
+
 def p10_portion(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_portion(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_associations, p8_packing, p8_fill, p9_mix, p9_shares, p10_found, p10_spans, p10_portion)}
+QUERIES = {f.__name__: f for f in (p7_found, p7_associations, p8_packing, p8_fill, p9_mix, p9_shares, p10_found, p10_spans, p10_factors, p10_portion)}
 
 _PAIRS = """
 WITH sets AS (
@@ -83,4 +87,18 @@ hits AS (SELECT doc_id, pos FROM grams WHERE g IN (SELECT g FROM grams GROUP BY
 marked AS (SELECT *, CASE WHEN pos <= lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 150 THEN 0 ELSE 1 END AS is_new FROM hits),
 runs AS (SELECT *, sum(is_new) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM marked)
 SELECT doc_id, min(pos) AS span_start, max(pos) + 150 AS span_end FROM runs GROUP BY doc_id, run""",
+    "p10_factors": """
+WITH grams AS (SELECT doc_id, p - 1 AS pos, hash(substr(text, p, 150)) AS g FROM (SELECT doc_id, text, unnest(range(1, length(text) - 148)) AS p FROM documents WHERE length(text) >= 150)),
+firsts AS (SELECT doc_id, g, min(pos) AS pos FROM grams GROUP BY doc_id, g),
+ends AS (SELECT g, min(doc_id) AS lo, max(doc_id) AS hi, arg_min(pos, doc_id) AS lo_pos, arg_max(pos, doc_id) AS hi_pos FROM firsts GROUP BY g HAVING min(doc_id) <> max(doc_id)),
+met AS (SELECT doc_id, pos, CASE WHEN lo <> doc_id THEN lo ELSE hi END AS source_doc, CASE WHEN lo <> doc_id THEN lo_pos ELSE hi_pos END - pos AS shift FROM grams JOIN ends ON grams.g = ends.g),
+marked AS (SELECT *, CASE WHEN lag(pos) OVER w = pos - 1 AND lag(source_doc) OVER w = source_doc AND lag(shift) OVER w = shift THEN 0 ELSE 1 END AS is_new FROM met WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+runs AS (SELECT *, sum(is_new) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM marked)
+SELECT doc_id, min(pos) AS factor_start, max(pos) + 150 AS factor_end, source_doc, min(pos) + shift AS source_start FROM runs GROUP BY doc_id, run, source_doc, shift""",
+    "p10_portion": """
+WITH grams AS (SELECT doc_id, p - 1 AS pos, hash(substr(text, p, 150)) AS g FROM (SELECT doc_id, text, unnest(range(1, length(text) - 148)) AS p FROM documents WHERE length(text) >= 150)),
+hits AS (SELECT doc_id, pos FROM grams WHERE g IN (SELECT g FROM grams GROUP BY g HAVING count(DISTINCT doc_id) > 1)),
+steps AS (SELECT *, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS prev FROM hits),
+sums AS (SELECT doc_id, count(*) FILTER (WHERE prev IS NULL OR pos > prev + 150) AS n_spans, CAST(sum(least(150, coalesce(pos - prev, 150))) AS BIGINT) AS shared_chars FROM steps GROUP BY doc_id)
+SELECT d.doc_id, coalesce(length(text), 0) AS n_chars, coalesce(n_spans, 0) AS n_spans, coalesce(shared_chars, 0) AS shared_chars, round(coalesce(shared_chars::DOUBLE / nullif(length(text), 0), 0), 6) AS shared_share FROM documents d LEFT JOIN sums s ON s.doc_id = d.doc_id""",
 }

@@ -200,6 +200,26 @@ def shared_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) ->
     return runs.drop("_run")
 
 
+def factors(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
+    """``doc_id, factor_start, factor_end, source_doc, source_start``: the parse of each document relative to the others.
+
+    Every shared gram refers to its first place in the least other document that holds it (for that document
+    itself, in the greatest); a factor runs on while source
+    and offset stay the same and ends where they change, so ``text[factor_start:factor_end]`` stands at ``source_start``
+    of ``source_doc``. The factors of a document cover its shared spans (neighbours overlap by less than ``length``).
+    """
+    grams = materialize(candidate_grams(docs, length, anchor), "grams")
+    place = F.struct("doc_id", "pos")
+    ends = grams.filter("is_first").groupBy("gram_a", "gram_b").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter("lo.doc_id <> hi.doc_id")
+    source = F.when(F.col("lo.doc_id") != F.col("doc_id"), F.col("lo")).otherwise(F.col("hi"))
+    met = grams.join(ends, ["gram_a", "gram_b"]).select("doc_id", "pos", source.alias("s")).select("doc_id", "pos", F.col("s.doc_id").alias("source_doc"), (F.col("s.pos") - F.col("pos")).alias("shift"))
+    w = Window.partitionBy("doc_id").orderBy("pos")
+    same = (F.lag("pos").over(w) == F.col("pos") - 1) & (F.lag("source_doc").over(w) == F.col("source_doc")) & (F.lag("shift").over(w) == F.col("shift"))
+    runs = met.withColumn("_new", (~F.coalesce(same, F.lit(False))).cast("int")).withColumn("_run", F.sum("_new").over(w))
+    out = runs.groupBy("doc_id", "_run", "source_doc", "shift").agg(F.min("pos").alias("factor_start"), (F.max("pos") + length).alias("factor_end"))
+    return out.select("doc_id", "factor_start", "factor_end", "source_doc", (F.col("factor_start") + F.col("shift")).alias("source_start"))
+
+
 def shared_portion(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
     """``doc_id, n_chars, n_spans, shared_chars, shared_share`` for every document (0 for NULL and empty texts)."""
     per = shared_spans(docs, length, anchor).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_spans"), F.sum(F.col("span_end") - F.col("span_start")).alias("shared_chars"))
