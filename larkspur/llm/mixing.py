@@ -135,13 +135,14 @@ def _settle(rated: DataFrame, live: dict[str, Source]) -> None:
         s.shift = s.start
 
 
-def _top_up(rated: DataFrame, live: dict[str, Source], passes: int = 2) -> DataFrame:
+def _top_up(rated: DataFrame, live: dict[str, Source], passes: int = 3) -> DataFrame:
     """``doc_id`` of at most ``passes`` documents per source that fill what the shift left short: each time the largest
-    one that still fits."""
+    one that still fits and may be repeated once more."""
     spark, doc_type = rated.sparkSession, rated.schema["doc_id"].dataType.simpleString()
     picked: list = []
     for _ in range(passes):
-        free = rated.filter((F.col("edge") >= _lookup(live, lambda s: s.shift)) & (F.col("edge") < 2.0) & (F.col("n_tokens") > 0) & (F.col("n_tokens") <= _lookup(live, lambda s: s.rest)))
+        copies = F.col("base") + (F.col("edge") < _lookup(live, lambda s: s.shift)).cast("long")
+        free = rated.filter((copies < _lookup(live, lambda s: s.cap)) & (F.col("n_tokens") > 0) & (F.col("n_tokens") <= _lookup(live, lambda s: s.rest)))
         if picked:
             free = free.join(F.broadcast(spark.createDataFrame([(x,) for x in picked], f"doc_id {doc_type}")), "doc_id", "left_anti")
         for r in free.groupBy("source").agg(F.max(F.struct("n_tokens", -F.col("edge"), "doc_id")).alias("b")).collect():
@@ -163,7 +164,7 @@ def mix(sizes: DataFrame, targets: DataFrame, budget: float | None = None) -> Da
     rated = _rated(sizes, live)
     _settle(rated, live)
     more = _top_up(rated, live)
-    extra = ((F.col("edge") < _lookup(live, lambda s: s.shift)) | F.col("_more").isNotNull()).cast("long")
+    extra = (F.col("edge") < _lookup(live, lambda s: s.shift)).cast("long") + F.col("_more").isNotNull().cast("long")
     out = rated.join(F.broadcast(more), "doc_id", "left").withColumn("copies", F.col("base") + extra).filter(F.col("copies") > 0)
     return out.select("doc_id", "source", "n_tokens", F.round("rate", 6).alias("rate"), "copies")
 
