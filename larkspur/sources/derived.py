@@ -68,7 +68,7 @@ def import_review(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema(schemas.REVIEW).option("mode", "FAILFAST").option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     flag = F.lower(F.trim("no_sentiment"))
     truth = F.when(flag.isin("true", "1", "yes"), True).when(flag.isin("false", "0", "no", ""), False).otherwise(F.raise_error(F.concat("doc_id", F.lit(": unreadable no_sentiment"))).cast("boolean"))
-    tags = F.filter(F.transform(F.split("tags", ";"), lambda t: F.trim(t)), lambda t: t != "")
+    tags = F.filter(F.transform(F.split(F.coalesce("tags", F.lit("")), ";"), lambda t: F.trim(t)), lambda t: t != "")
     return rows.select(
         "doc_id", tags.alias("tags"), F.trim("overall_sentiment").cast("int").alias("overall_sentiment"), truth.alias("no_sentiment"),
         F.from_json("tag_sentiment", "map<string,int>", {"mode": "FAILFAST"}).alias("tag_sentiment"), F.lower(F.trim("confidence")).alias("confidence"), F.trim("rationale").alias("rationale"),
