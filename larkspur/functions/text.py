@@ -108,7 +108,7 @@ def band(value: Column) -> Column:
     """Name of a gauge value; NULL for none. The two lower bounds belong to the lower band, the two upper ones to the higher."""
     a, b, c, d = BAND_BOUNDS
     level = F.when(value <= a, 1).when(value <= b, 2).when(value < c, 3).when(value < d, 4).when(value.isNotNull(), 5)
-    return F.element_at(F.array(*map(F.lit, BANDS)), level)
+    return F.coalesce(*[F.when(level == i, F.lit(name)) for i, name in enumerate(BANDS, 1)])
 
 
 def tokens(x: Column) -> Column:
