@@ -226,3 +226,48 @@ SELECT file_key, line_no, CAST(trunc({_number('$.created_utc')}) AS BIGINT) AS c
     "stream_merge": """SELECT id, score, created_utc, retrieved_2nd_on, batch_key, line_no, n_copies FROM (
   SELECT *, count(*) OVER (PARTITION BY id) AS n_copies, row_number() OVER (PARTITION BY id ORDER BY (retrieved_2nd_on IS NOT NULL) DESC, retrieved_2nd_on DESC NULLS LAST, created_utc DESC NULLS LAST, ingested_at, batch_key DESC, line_no DESC) AS rn FROM posts WHERE id IS NOT NULL) WHERE rn = 1""",
 }
+
+
+def _text(path: str) -> str:
+    return f"CASE WHEN json_type(j, '{path}') = 'VARCHAR' THEN json_extract_string(j, '{path}') END"
+
+
+def _flag(path: str) -> str:
+    return f"CASE WHEN json_type(j, '{path}') = 'BOOLEAN' THEN CAST(json_extract(j, '{path}') AS BOOLEAN) END"
+
+
+def _kept(x: str) -> str:
+    bare = f"regexp_replace(regexp_replace({x}, '^[\\s\\p{{Z}}\\x0b]+', ''), '[\\s\\p{{Z}}\\x0b]+$', '')"
+    return f"CASE WHEN {bare} NOT IN ('', '[deleted]', '[removed]', '[deleted by user]') THEN {x} END"
+
+
+_POST, _COMMENT = "CASE WHEN kind = 'posts' THEN {0} END", "CASE WHEN kind = 'comments' THEN {0} END"
+_PROJECTED = {
+    "id": _text("$.id"),
+    "author": f"CASE WHEN {_text('$.author')} NOT IN ('', '[deleted]', '[removed]') THEN {_text('$.author')} END",
+    "created_utc": f"CAST(trunc({_number('$.created_utc')}) AS BIGINT)",
+    "score": f"CAST(trunc({_number('$.score')}) AS INTEGER)",
+    "upvote_ratio": _POST.format(f"round({_number('$.upvote_ratio')}, 6)"),
+    "num_comments": _POST.format(f"CAST(trunc({_number('$.num_comments')}) AS INTEGER)"),
+    "title": _POST.format(_kept(_text("$.title"))),
+    "selftext": _POST.format(_kept(_text("$.selftext"))),
+    "body": _COMMENT.format(_kept(_text("$.body"))),
+    "parent_id": _COMMENT.format(_text("$.parent_id")),
+    "link_id": _COMMENT.format(_text("$.link_id")),
+    "is_self": _POST.format(_flag("$.is_self")),
+    "over_18": _flag("$.over_18"),
+    "stickied": _flag("$.stickied"),
+    "distinguished": _text("$.distinguished"),
+    "edited": f"CASE WHEN json_type(j, '$.edited') = 'BOOLEAN' THEN CAST(json_extract(j, '$.edited') AS BOOLEAN) WHEN {_JSON_NUMBER.format('$.edited')} THEN CAST(json_extract(j, '$.edited') AS DOUBLE) > 0 ELSE FALSE END",
+    "author_flair_text": _text("$.author_flair_text"),
+    "link_flair_text": _POST.format(_text("$.link_flair_text")),
+    "removal_category": f"coalesce(nullif({_text('$.removed_by_category')}, ''), {_text('$.removal_reason')})",
+    "engagement_settled": _settled(f"{_number('$._meta.retrieved_2nd_on')} IS NOT NULL"),
+    "retrieved_2nd_on": f"CAST(trunc({_number('$._meta.retrieved_2nd_on')}) AS BIGINT)",
+}
+SQL["project_raw"] = f"""WITH docs AS (
+  SELECT file_key, line_no, record_json::JSON AS j, regexp_extract(file_key, '{_RAW_KEY}', 1) AS subreddit, regexp_extract(file_key, '{_RAW_KEY}', 2) AS month_label, regexp_extract(file_key, '{_RAW_KEY}', 3) AS kind
+  FROM raw_records WHERE regexp_matches(file_key, '{_RAW_KEY}')),
+projected AS (SELECT {", ".join(f"{x} AS {n}" for n, x in _PROJECTED.items())}, subreddit, month_label, kind, file_key, line_no, json_type(j, '$._meta.retrieved_2nd_on') IS NOT NULL AS stamped FROM docs)
+SELECT {", ".join(_PROJECTED)}, subreddit, month_label FROM (
+  SELECT *, row_number() OVER (PARTITION BY subreddit, month_label, kind, id ORDER BY stamped DESC, file_key, line_no) AS rn FROM projected WHERE nullif(id, '') IS NOT NULL) WHERE rn = 1"""

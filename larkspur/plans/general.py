@@ -85,6 +85,10 @@ def p4_hierarchy(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.hierarchy(comments)
 
 
+def p4_paths(spark: SparkSession, d: str) -> DataFrame:
+    return p4_hierarchy(spark, d).drop("entry", "exit")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return drift.field_changes(table(spark, d, "raw_records")).select("file_key", "field_name")
 
@@ -139,7 +143,7 @@ def p6_compound(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_key_totals, p2_found, p2_report, p3_found, p3_messages, p4_found, p4_hierarchy, p5_found, p5_steps, p5_versions, p5_table, p6_found, p6_daily, p6_compound)
+    for f in (p1_found, p1_key_totals, p2_found, p2_report, p3_found, p3_messages, p4_found, p4_hierarchy, p4_paths, p5_found, p5_steps, p5_versions, p5_table, p6_found, p6_daily, p6_compound)
 }
 
 _REFS = """
@@ -168,6 +172,15 @@ FROM (SELECT *, count(*) OVER (PARTITION BY id) AS n_copies,
              row_number() OVER (PARTITION BY id ORDER BY (retrieved_2nd_on IS NOT NULL) DESC, retrieved_2nd_on DESC NULLS LAST, created_utc DESC NULLS LAST, ingested_at, batch_key DESC, line_no DESC) AS rn
       FROM {table} WHERE id IS NOT NULL) WHERE rn = 1"""
 
+_TREES = """
+WITH RECURSIVE nodes AS (SELECT id, min(CASE WHEN starts_with(parent_id, 't1_') THEN substr(parent_id, 4) END) AS parent FROM comments WHERE id IS NOT NULL GROUP BY id),
+edges AS (SELECT a.id, a.parent FROM nodes a JOIN nodes b ON a.parent = b.id),
+fine AS (SELECT id FROM nodes WHERE id NOT IN (SELECT id FROM edges) UNION SELECT e.id FROM edges e JOIN fine f ON e.parent = f.id),
+caught AS (SELECT e.id, e.parent FROM edges e WHERE e.id NOT IN (SELECT id FROM fine)),
+walk AS (SELECT id, parent AS seen FROM caught UNION SELECT w.id, c.parent FROM walk w JOIN caught c ON w.seen = c.id),
+loops AS (SELECT id, min(seen) AS cycle_id FROM walk GROUP BY id HAVING bool_or(seen = id)),
+caught_by AS (SELECT w.id, min(l.cycle_id) AS cycle_id FROM walk w JOIN loops l ON w.seen = l.id GROUP BY w.id)"""
+
 _STATES = """
 WITH docs AS (SELECT file_key, record_json AS j FROM raw_records),
 fields AS (SELECT file_key, k AS field_name, json_type(json_extract(j, '$."' || k || '"')) AS t FROM (SELECT file_key, j, unnest(json_keys(j)) AS k FROM docs)),
@@ -223,14 +236,12 @@ SELECT table_name, period AS month_label, field_name, status, count(*) AS n_refs
 SELECT 'post' AS kind, id FROM posts WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1
 UNION ALL SELECT 'comment', id FROM comments WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1""",
     "p3_messages": _WINNERS.format(kind="post", table="posts") + " UNION ALL " + _WINNERS.format(kind="comment", table="comments"),
-    "p4_found": """
-WITH RECURSIVE nodes AS (SELECT id, min(CASE WHEN starts_with(parent_id, 't1_') THEN substr(parent_id, 4) END) AS parent FROM comments WHERE id IS NOT NULL GROUP BY id),
-edges AS (SELECT a.id, a.parent FROM nodes a JOIN nodes b ON a.parent = b.id),
-fine AS (SELECT id FROM nodes WHERE id NOT IN (SELECT id FROM edges) UNION SELECT e.id FROM edges e JOIN fine f ON e.parent = f.id),
-caught AS (SELECT e.id, e.parent FROM edges e WHERE e.id NOT IN (SELECT id FROM fine)),
-walk AS (SELECT id, parent AS seen FROM caught UNION SELECT w.id, c.parent FROM walk w JOIN caught c ON w.seen = c.id),
-loops AS (SELECT id, min(seen) AS cycle_id FROM walk GROUP BY id HAVING bool_or(seen = id))
-SELECT w.id, min(l.cycle_id) AS cycle_id FROM walk w JOIN loops l ON w.seen = l.id GROUP BY w.id""",
+    "p4_found": _TREES + " SELECT * FROM caught_by",
+    "p4_paths": _TREES
+    + """, cut AS (SELECT n.id, CASE WHEN n.id IN (SELECT id FROM loops) THEN NULL ELSE e.parent END AS up, e.parent FROM nodes n LEFT JOIN edges e ON e.id = n.id),
+tree AS (SELECT id, id AS root, 0 AS depth, id AS path FROM cut WHERE up IS NULL UNION ALL SELECT c.id, t.root, t.depth + 1, t.path || '/' || c.id FROM cut c JOIN tree t ON c.up = t.id),
+below AS (SELECT anc, count(*) - 1 AS n_descendants FROM (SELECT unnest(string_split(path, '/')) AS anc FROM tree) GROUP BY anc)
+SELECT t.id, c.parent, t.root, t.depth, b.n_descendants, t.path, k.cycle_id FROM tree t JOIN cut c ON c.id = t.id JOIN below b ON b.anc = t.id LEFT JOIN caught_by k ON k.id = t.id""",
     "p5_found": _STATES + " SELECT file_key, field_name FROM changes",
     "p6_found": _DENSE + " SELECT subreddit, strftime(day, '%Y-%m-%d') AS day_label FROM totals WHERE day >= lo + 29 AND p30 + c30 >= 20 AND 10 * (p7 + c7) >= 7 * (p30 + c30)",
     "p6_daily": _DENSE
@@ -260,3 +271,45 @@ SELECT subreddit, day, CAST(n7 AS BIGINT) AS n_scored_7d, CAST(n30 AS BIGINT) AS
 SELECT c.file_key, field_name, CASE WHEN swap AND (after = 'absent' OR before = 'absent') THEN 'renamed' WHEN after = 'absent' THEN 'removed' WHEN before = 'absent' THEN 'added' ELSE 'retyped' END AS step, before, after
 FROM canon c JOIN swaps s ON c.file_key = s.file_key AND c.canonical = s.canonical""",
 }
+
+
+_NUMERIC = ("UBIGINT", "BIGINT", "DOUBLE")
+
+
+def _rule_sql(rule: drift.FieldRule) -> str:
+    picks = []
+    for name in (rule.name, *rule.renamed_from):
+        kind, text = f"json_type(j, '$.{name}')", f"json_extract_string(j, '$.{name}')"
+        scalar = f"{kind} IN ('VARCHAR', 'UBIGINT', 'BIGINT', 'DOUBLE')"
+        number = f"CASE WHEN {scalar} THEN TRY_CAST({text} AS DOUBLE) END"
+        picks.append({
+            "string": f"CASE WHEN {scalar} THEN {text} END",
+            "boolean": f"CASE WHEN {kind} = 'BOOLEAN' THEN CAST({text} AS BOOLEAN) WHEN {kind} IN {_NUMERIC} THEN CAST({text} AS DOUBLE) > 0 END",
+            "double": number,
+            "bigint": f"TRY_CAST(trunc({number}) AS BIGINT)",
+        }[rule.kind])
+    if rule.default is not None:
+        picks.append(str(rule.default).upper())
+    return f"coalesce({', '.join([*picks, 'NULL'])}) AS {rule.name}"
+
+
+_DEFAULTS = [r.name for r in drift.RULES if r.default is not None]
+_OLDER = {old: r for r in drift.RULES for old in r.renamed_from}
+_NATURAL = {r.name: drift.NATURAL[r.kind] for r in drift.RULES} | {o: drift.NATURAL[r.kind] for o, r in _OLDER.items()}
+_RENAMED = "CASE field_name " + " ".join(f"WHEN '{o}' THEN 'rename:{o}>{r.name}'" for o, r in _OLDER.items()) + " END"
+_CASTS = "CASE WHEN state NOT IN ('', CASE field_name " + " ".join(f"WHEN '{n}' THEN '{t}'" for n, t in _NATURAL.items()) + " ELSE state END) THEN 'cast:' || field_name END"
+
+SQL |= {
+    "p5_table": f"""SELECT file_key, line_no, {", ".join(map(_rule_sql, drift.RULES))},
+  CASE WHEN json_type(j, '$._meta.retrieved_2nd_on') IN ('VARCHAR', 'UBIGINT', 'BIGINT', 'DOUBLE') THEN TRY_CAST(trunc(TRY_CAST(json_extract_string(j, '$._meta.retrieved_2nd_on') AS DOUBLE)) AS BIGINT) END AS retrieved_2nd_on
+FROM (SELECT file_key, line_no, record_json::JSON AS j FROM raw_records WHERE file_key IS NOT NULL)""",
+    "p5_versions": _STATES
+    + f""", marked AS (
+  SELECT file_key, list_sort(list(field_name || ':' || state)) AS states, list_sort(list({_RENAMED}) FILTER (WHERE {_RENAMED} IS NOT NULL)) AS renames, list_sort(list({_CASTS}) FILTER (WHERE {_CASTS} IS NOT NULL)) AS casts, list(field_name) AS names
+  FROM filled GROUP BY file_key
+), printed AS (
+  SELECT file_key, regexp_extract(file_key, '^raw/([^/]+)/', 1) AS venue, regexp_extract(file_key, '/(posts|comments)-', 1) AS kind, sha256(array_to_string(states, chr(10))) AS fingerprint,
+    list_concat(list_sort(list_concat(coalesce(renames, []), coalesce(casts, []))), list_filter([{", ".join(f"CASE WHEN NOT list_contains(names, '{n}') THEN 'default:{n}' END" for n in _DEFAULTS)}], lambda x: x IS NOT NULL)) AS steps FROM marked
+), moved AS (SELECT *, CASE WHEN lag(fingerprint) OVER w IS DISTINCT FROM fingerprint THEN 1 ELSE 0 END AS moved FROM printed WINDOW w AS (PARTITION BY venue, kind ORDER BY file_key))
+SELECT file_key, venue, kind, fingerprint, CAST(sum(moved) OVER (PARTITION BY venue, kind ORDER BY file_key) AS BIGINT) AS version, array_to_string(steps, ';') AS steps FROM moved""",
+}
