@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from larkspur.scratch import materialize
+from larkspur.scratch import discard, materialize
 
 FIELDS = "id string, parent string, root string, depth int, n_descendants long, entry long, exit long, path string, cycle_id string"
 
@@ -188,6 +188,7 @@ def _merge_groups(links: DataFrame, name: str) -> DataFrame:
         jump = labels.select(F.col("grp").alias("m"), F.col("label").alias("far"))
         after = materialize(step.join(jump, "m", "left").select("grp", F.coalesce("far", "m").alias("next"), "label"), f"{name}-labels")
         moved = after.filter(F.col("next") != F.col("label")).limit(1).count()
+        discard(labels)
         labels = after.select("grp", F.col("next").alias("label"))
         if not moved:
             return labels
@@ -200,10 +201,14 @@ def _cut_loops(nodes: DataFrame, name: str) -> DataFrame:
     nodes that reach a root drop out. What has an ancestor left after as many steps as there are nodes never ends, and the
     ancestors so reached are the loops.
     """
-    active = nodes.filter(F.col("parent").isNotNull()).select("id", F.col("parent").alias("anc"), F.least("id", "parent").alias("low"))
+    active, past = nodes.filter(F.col("parent").isNotNull()).select("id", F.col("parent").alias("anc"), F.least("id", "parent").alias("low")), []
     for _ in range(max(1, nodes.count().bit_length())):
         far = active.select(F.col("id").alias("anc"), F.col("anc").alias("next"), F.col("low").alias("low2"))
-        active = materialize(active.join(far, "anc").select("id", F.col("next").alias("anc"), F.least("low", "low2").alias("low")), f"{name}-loops")
+        onward = materialize(active.join(far, "anc").select("id", F.col("next").alias("anc"), F.least("low", "low2").alias("low")), f"{name}-loops")
+        if past:
+            discard(past[-1])
+        past.append(onward)
+        active = onward
         if active.isEmpty():
             break
     on_loop = active.select(F.col("anc").alias("id")).distinct()
