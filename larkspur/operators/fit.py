@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions import text
+from larkspur.functions.sentiment import Lexicon, polarity_scores
+from larkspur.operators.sampling import hash_part
 
 # Limits and weights of the term association.
 LEAST_DOCS, SHRINKAGE, LEAST_ASSOCIATION, MOST_TERMS, MOST_VALENCE = 50, 30, 0.2, 400, 3.5
@@ -75,3 +79,30 @@ def best_thresholds(scored: DataFrame, combos: list[tuple[int, float, float, flo
                 found = (hits, float(p), float(n), float(m))
     rows = [] if found is None else [(*found[1:], round(int(found[0]) / total, 6))]
     return scored.sparkSession.createDataFrame(rows, "pos double, neg double, neu_min double, accuracy double")
+
+
+def distill(docs: DataFrame, hand: dict[str, float], banned: list[str], scales: list[float], combos: list[tuple[int, float, float, float]], least_docs: int = LEAST_DOCS, least: float = LEAST_ASSOCIATION) -> dict | None:
+    """Learn a lexicon from (``id, text, y``) documents: four fifths (by md5) give the terms, the rest picks scale and thresholds.
+
+    ``hand`` words stay unless a learned value replaces them; ``banned`` ones (entities, degree and negation words) learn
+    nothing. Returns ``scale, pos, neg, neu_min, accuracy, lexicon`` of the best scale, the first of equals; None for no
+    documents. Only learned terms (at most 400) and one row per scale come to the driver.
+    """
+    part = hash_part(F.col("id"))
+    kept = docs.filter(F.col("text").isNotNull() & F.col("y").isNotNull())
+    found = associations(kept.filter(part != 0), banned, least_docs)
+    trial = kept.filter(part == 0)
+    best = None
+    for scale in scales:
+        learned = {r["token"]: r["valence"] for r in learned_lexicon(found, scale, least).collect()}
+        lexicon = merged_lexicon(hand, learned)
+        scored = trial.select(polarity_scores(F.col("text"), Lexicon(valences=lexicon)).alias("s"), F.col("y").alias("gold")).select("s.compound", "s.neu", "gold")
+        for r in best_thresholds(scored, combos).collect():
+            if best is None or r["accuracy"] > best["accuracy"]:
+                best = {"scale": scale, **r.asDict(), "lexicon": lexicon}
+    return best
+
+
+def entity_tokens(terms: list[str]) -> list[str]:
+    """Tokens of a taxonomy's terms: names carry no valence."""
+    return sorted({t for term in terms for t in re.findall(text.TOKEN, term.lower())})

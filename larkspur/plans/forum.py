@@ -388,6 +388,64 @@ def stream_merge(spark, d):
     return merged(spark, f"{path}/store", ["id"], _delivery_order(), "month_label").select("id", "score", "created_utc", "retrieved_2nd_on", "batch_key", "line_no", "n_copies")
 
 
+def receipt_names(spark, d):
+    return collection.receipt_keys(table(spark, d, "raw_objects"))
+
+
+def enrich_fingerprint(spark, d):
+    """Fingerprints of the enrichment layer: object and configuration version together."""
+    parts = collection.parsed_keys(table(spark, d, "raw_objects"))
+    return parts.select("object_key", collection.enrich_fingerprint(F.col("etag"), F.lit("seed-1+tags-1")).alias("fingerprint"))
+
+
+def last_score_agreement(spark, d):
+    """Labels of the first enrichment version against the last stored one of each record."""
+    rows = table(spark, d, "enrich").filter("id IS NOT NULL AND kind IS NOT NULL").select(F.concat_ws("/", "kind", "id").alias("doc_id"), "enrich_version", _level_sql(F.col("vader_compound"), (-0.6, -0.05, 0.05, 0.6)).alias("level"))
+    gold = rows.groupBy("doc_id").agg(F.min(F.struct("enrich_version", "level")).alias("g")).select("doc_id", F.col("g.level").alias("gold"))
+    scored = evaluate.last_score(rows, "doc_id", "enrich_version").withColumnRenamed("level", "scored")
+    return evaluate.agreement(gold.join(scored, "doc_id"))
+
+
+def teacher_slices(spark, d):
+    """Sampled comments per slice, those already enriched left out."""
+    comments = _items(spark, d, "created_utc").filter("kind = 'comment'").select("id", "created_utc")
+    free = threads.without(comments, _enriched(spark, d).filter("kind = 'comment' AND size(tags) > 1"))
+    return sampling.slices(free, {"spike": ("2024-01-15", "2024-02-01", 200), "calm": ("2023-05-01", "2023-07-01", 100)}, 400)
+
+
+def range_presets(spark, d):
+    """Days and items of each venue's series within the display ranges."""
+    s = _series(spark, d)
+    last = s.groupBy("subreddit").agg(F.max("date").alias("last"))
+    both = s.join(last, "subreddit")
+    parts = []
+    for name in ("1M", "3M", "6M", "1Y", "ALL"):
+        inside = F.coalesce(F.col("date") >= times.range_start(F.col("last"), name), F.lit(True))
+        parts.append(both.filter(inside).groupBy("subreddit").agg(F.lit(name).alias("preset"), F.count(F.lit(1)).alias("days"), F.sum(F.col("num_posts") + F.col("num_comments")).alias("items")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def measured_change(spark, d):
+    """Change of each venue's comments between the days nearest to two instants."""
+    s = _series(spark, d).select("subreddit", F.datediff("date", F.lit("1970-01-01").cast("date")).alias("t"), F.col("num_comments").cast("double").alias("v"))
+    venues = s.select("subreddit").distinct()
+    at = lambda day: asof.nearest(venues.withColumn("t", F.datediff(F.lit(day).cast("date"), F.lit("1970-01-01").cast("date"))), s, VENUE, "t", "v", bucket=400)
+    ends = at("2023-01-15").select("subreddit", F.col("nearest_value").alias("a")).join(at("2024-06-15").select("subreddit", F.col("nearest_value").alias("b")), "subreddit")
+    change = asof.measured(F.col("a"), F.col("b"))
+    return ends.select("subreddit", change["delta"].alias("delta"), F.round(change["pct"], 6).alias("pct"))
+
+
+def distilled_lexicon(spark, d):
+    """Thresholds and scale of the lexicon learned from comments, with its size."""
+    banned = fit.entity_tokens([t for tag in taxonomy.default() for t in (*tag.search_terms, *tag.strict_terms)]) + sorted({*sentiment.DEGREES, *sentiment.NEGATIONS})
+    best = fit.distill(_bodies(spark, d), sentiment.SEED, banned, [2.0, 4.0], fit.grid(GRID_POS, GRID_NEG, GRID_NEU), least_docs=20, least=0.02)
+    rows = [] if best is None else [(best["scale"], best["pos"], best["neg"], best["neu_min"], best["accuracy"], len(best["lexicon"]))]
+    return spark.createDataFrame(rows, "scale double, pos double, neg double, neu_min double, accuracy double, n_words int")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -396,5 +454,6 @@ QUERIES = {
         regex_tags, word_length_era, text_views, polarity_labels, vader_scores, enrich_items, md5_per_year, md5_top_n, md5_parts, exact_within_one, confusion, kappa, kappa_three_way,
         tag_prf, histogram, validate_labels, quota_split, exemplars, allocate_strata, token_docfreq, token_association, top_terms, grid_argmax, project_raw, engagement_state,
         settlement_tally, discover_partitions, fingerprint, stale_partitions, stale_parts, open_partitions, run_totals, months_left_receipts, raw_types, series_json, tags_json, stream_merge,
+        receipt_names, enrich_fingerprint, last_score_agreement, teacher_slices, range_presets, measured_change, distilled_lexicon,
     )
 }

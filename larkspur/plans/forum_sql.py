@@ -271,3 +271,23 @@ SQL["project_raw"] = f"""WITH docs AS (
 projected AS (SELECT {", ".join(f"{x} AS {n}" for n, x in _PROJECTED.items())}, subreddit, month_label, kind, file_key, line_no, json_type(j, '$._meta.retrieved_2nd_on') IS NOT NULL AS stamped FROM docs)
 SELECT {", ".join(_PROJECTED)}, subreddit, month_label FROM (
   SELECT *, row_number() OVER (PARTITION BY subreddit, month_label, kind, id ORDER BY stamped DESC, file_key, line_no) AS rn FROM projected WHERE nullif(id, '') IS NOT NULL) WHERE rn = 1"""
+
+_RECEIPT_KEY = "^receipts/([^/]+)/([0-9]{4}-(?:0[1-9]|1[0-2]))-(posts|comments)\\.json$"
+_PRESETS = {"1M": "s.last - INTERVAL 1 MONTH", "3M": "s.last - INTERVAL 3 MONTH", "6M": "s.last - INTERVAL 6 MONTH", "1Y": "s.last - INTERVAL 12 MONTH", "ALL": "DATE '0001-01-01'"}
+SQL |= {
+    "receipt_names": f"SELECT regexp_extract(object_key, '{_RECEIPT_KEY}', 1) AS subreddit, regexp_extract(object_key, '{_RECEIPT_KEY}', 2) AS month_label, regexp_extract(object_key, '{_RECEIPT_KEY}', 3) AS kind FROM raw_objects WHERE regexp_matches(object_key, '{_RECEIPT_KEY}')",
+    "enrich_fingerprint": f"WITH {_PARTS} SELECT object_key, sha256(concat_ws(':', etag, 'seed-1+tags-1')) AS fingerprint FROM parts",
+    "last_score_agreement": f"""WITH levels AS (SELECT kind || '/' || id AS doc_id, enrich_version AS v, {_LEVEL.format('vader_compound', -0.6, -0.05, 0.05, 0.6)} AS level FROM enrich WHERE id IS NOT NULL AND kind IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY v NULLS FIRST, level NULLS FIRST) AS first_n, row_number() OVER (PARTITION BY doc_id ORDER BY v DESC NULLS LAST, level DESC NULLS LAST) AS last_n FROM levels),
+rated AS (SELECT g.level AS gold, s.level AS scored FROM ranked g JOIN ranked s ON s.doc_id = g.doc_id WHERE g.first_n = 1 AND s.last_n = 1)
+SELECT count(*) AS n, round(avg((gold = scored)::INTEGER), 6) AS exact, round(avg((abs(gold - scored) <= 1)::INTEGER), 6) AS within_one FROM rated WHERE gold IS NOT NULL AND scored IS NOT NULL""",
+    "teacher_slices": f"""WITH {_ITEMS}, {_ENRICHED}, free AS (SELECT id, created_utc, {_DAY} AS day FROM items WHERE kind = 'comment' AND created_utc IS NOT NULL AND id NOT IN (SELECT id FROM enriched WHERE kind = 'comment' AND len(tags) > 1))
+SELECT id, created_utc, 'per_year' AS slice FROM (SELECT *, row_number() OVER (PARTITION BY year(day) ORDER BY md5(id), id) AS n FROM free) WHERE n <= 400
+UNION ALL SELECT id, created_utc, 'spike' FROM (SELECT *, row_number() OVER (ORDER BY md5(id), id) AS n FROM free WHERE day >= DATE '2024-01-15' AND day < DATE '2024-02-01') WHERE n <= 200
+UNION ALL SELECT id, created_utc, 'calm' FROM (SELECT *, row_number() OVER (ORDER BY md5(id), id) AS n FROM free WHERE day >= DATE '2023-05-01' AND day < DATE '2023-07-01') WHERE n <= 100""",
+    "range_presets": f"WITH {_SERIES}, s AS (SELECT *, max(date) OVER (PARTITION BY subreddit) AS last FROM series) "
+    + " UNION ALL ".join(f"SELECT subreddit, '{n}' AS preset, count(*) AS days, CAST(sum(num_posts + num_comments) AS BIGINT) AS items FROM s WHERE date >= {first} GROUP BY subreddit" for n, first in _PRESETS.items()),
+    "measured_change": f"""WITH {_SERIES}, a AS (SELECT subreddit, arg_min(num_comments, (abs(date_diff('day', DATE '2023-01-15', date)) * 2 + (date > DATE '2023-01-15')::INTEGER)) AS v FROM series GROUP BY subreddit),
+b AS (SELECT subreddit, arg_min(num_comments, (abs(date_diff('day', DATE '2024-06-15', date)) * 2 + (date > DATE '2024-06-15')::INTEGER)) AS v FROM series GROUP BY subreddit)
+SELECT a.subreddit, (b.v - a.v)::DOUBLE AS delta, round((b.v / nullif(a.v, 0)::DOUBLE - 1) * 100, 6) AS pct FROM a JOIN b ON a.subreddit = b.subreddit""",
+}
