@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larkspur.scratch import materialize
+
 MOST_CONTAINERS = 64
 
 
@@ -33,6 +35,7 @@ class Breeding:
     population: int = 6
     generations: int = 20
     elites: int = 2
+    poor: float = 0.95  # bins filled less are packed once more
     seed: int = 7
 
 
@@ -160,12 +163,22 @@ def pack(items: DataFrame, containers: DataFrame, p: Breeding = Breeding()) -> D
         return spark.createDataFrame([], schema.format(doc_type))
     cut = pieces_of(items.select("doc_id", F.greatest(F.coalesce("n_tokens", F.lit(0)), F.lit(0)).cast("long").alias("n_tokens")), kinds)
     loose, full = cut.filter("size < capacity"), cut.filter("size = capacity")
-    totals = {r["place"]: r for r in loose.groupBy("place").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()}
-    cells = {}
-    for place, (_, capacity) in enumerate(kinds):
-        t = totals.get(place)
-        cells[place] = 1 if t is None else max(1, -(-t["size"] // (capacity * p.bins_per_cell)), -(-t["n"] // p.items_per_cell))
-    n_cells = F.element_at(F.create_map(*[F.lit(x) for kv in cells.items() for x in kv]), F.col("place")).cast("long")
+    first = materialize(_bred(loose, len(kinds), p, "c"), "packed")
+    # What a cell leaves over is at most a few poorly filled bins; over all cells they are dealt and bred once more.
+    poor = first.groupBy("place", "capacity", "bin_id").agg(F.sum("size").alias("fill")).filter(F.col("fill") < p.poor * F.col("capacity")).select("place", "bin_id")
+    again = _bred(first.join(poor, ["place", "bin_id"], "left_semi").drop("bin_id"), len(kinds), p, "d")
+    kept = first.join(poor, ["place", "bin_id"], "left_anti")
+    name = F.element_at(F.array(*[F.lit(n) for n, _ in kinds]), F.col("place") + 1)
+    bred = kept.unionByName(again).select(name.alias("container_name"), "bin_id", "doc_id", "piece", F.col("size").alias("n_tokens"))
+    alone = full.select("container_name", F.concat_ws("-", F.lit("f"), F.col("doc_id"), F.col("piece")).alias("bin_id"), "doc_id", "piece", F.col("size").alias("n_tokens"))
+    return bred.unionByName(alone)
+
+
+def _bred(loose: DataFrame, n_kinds: int, p: Breeding, label: str) -> DataFrame:
+    """``place, capacity, bin_id, doc_id, piece, size`` of the best packing of every cell."""
+    totals = {r["place"]: r for r in loose.groupBy("place").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.first("capacity").alias("capacity")).collect()}
+    cells = {place: max(1, -(-t["size"] // (t["capacity"] * p.bins_per_cell)), -(-t["n"] // p.items_per_cell)) for place, t in totals.items()}
+    n_cells = F.coalesce(*[F.when(F.col("place") == place, F.lit(cells.get(place, 1))) for place in range(n_kinds)]).cast("long")
     dealt = loose.withColumn("cell", F.pmod(F.xxhash64("doc_id", "piece"), n_cells))
     held = dealt.groupBy("place", "capacity", "cell").agg(F.array_sort(F.collect_list(F.struct("size", "doc_id", "piece"))).alias("_i"))
     start = held.select(
@@ -183,12 +196,9 @@ def pack(items: DataFrame, containers: DataFrame, p: Breeding = Breeding()) -> D
             F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "island", "packings"))), lambda x: x["packings"])).alias("packings"),
         )
         people = met.select(*start.columns).mapInPandas(_breed(epoch, p), fields)
-    best = people.groupBy("place", "cell").agg(F.max_by(F.struct("docs", "pieces", "sizes", F.col("packings")[0].alias("bins")), F.struct(-F.col("n_bins"), "fitness", -F.col("island"))).alias("b"))
-    name = F.element_at(F.array(*[F.lit(n) for n, _ in kinds]), F.col("place") + 1)
+    best = people.groupBy("place", "capacity", "cell").agg(F.max_by(F.struct("docs", "pieces", "sizes", F.col("packings")[0].alias("bins")), F.struct(-F.col("n_bins"), "fitness", -F.col("island"))).alias("b"))
     zipped = F.explode(F.arrays_zip(F.col("b.docs").alias("d"), F.col("b.pieces").alias("p"), F.col("b.sizes").alias("s"), F.col("b.bins").alias("n"))).alias("z")
-    bred = best.select("place", "cell", zipped).select(name.alias("container_name"), F.concat_ws("-", F.lit("c"), F.col("cell"), F.col("z.n")).alias("bin_id"), F.col("z.d").alias("doc_id"), F.col("z.p").alias("piece"), F.col("z.s").alias("n_tokens"))
-    alone = full.select("container_name", F.concat_ws("-", F.lit("f"), F.col("doc_id"), F.col("piece")).alias("bin_id"), "doc_id", "piece", F.col("size").alias("n_tokens"))
-    return bred.unionByName(alone)
+    return best.select("place", "capacity", "cell", zipped).select("place", "capacity", F.concat_ws("-", F.lit(label), F.col("cell"), F.col("z.n")).alias("bin_id"), F.col("z.d").alias("doc_id"), F.col("z.p").alias("piece"), F.col("z.s").alias("size"))
 
 
 def fill_report(packed: DataFrame, containers: DataFrame) -> DataFrame:
