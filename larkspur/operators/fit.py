@@ -26,7 +26,10 @@ def doc_frequency(docs: DataFrame, banned: list[str] | None = None) -> DataFrame
 
 
 def associations(docs: DataFrame, banned: list[str] | None = None, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """``token, n, association``: share of positive less that of negative documents, shrunk to and centred on the corpus."""
+    """``token, n, association``: share of positive less that of negative documents, shrunk to and centred on the corpus.
+
+    ``docs`` is read twice: pass a stored table.
+    """
     rates = docs.agg(F.avg((F.col("y") > 0).cast("int")).alias("p_pos"), F.avg((F.col("y") < 0).cast("int")).alias("p_neg"))
     counted = doc_frequency(docs, banned).filter(F.col("n") >= least_docs).join(F.broadcast(rates))  # one row
     shrunk = lambda n, p: (F.col(n) + SHRINKAGE * F.col(p)) / (F.col("n") + SHRINKAGE)

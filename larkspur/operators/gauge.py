@@ -143,16 +143,16 @@ def volume_changes(series: DataFrame, keys: list[str]) -> DataFrame:
 def analog(series: DataFrame, keys: list[str]) -> DataFrame:
     """The past stretch of 30 days whose z-scores are closest to the latest one's, at least 60 days back.
 
-    ``start, end, band, similarity`` per venue; the earliest of equally close stretches. The latest vector is joined by
-    venue, so each past day meets one row.
+    ``start, end, band, similarity`` per venue; the earliest of equally close stretches. A venue's latest vector
+    is handed to its other rows by a window, so each past day meets one row.
     """
     w = _order(keys).rowsBetween(1 - STRETCH, 0)
     stretch = standing(series, keys).select(
         *keys, "date", "asof", F.collect_list("volume_z").over(w).alias("v"), F.collect_list("sentiment_z").over(w).alias("s"),
         F.min("date").over(w).alias("start"), clamp((F.col("volume_z") + F.col("sentiment_z")) / 2).alias("value"),
     ).filter((F.size("v") == STRETCH) & (F.size("s") == STRETCH))
-    latest = stretch.filter("date = asof").select(*keys, F.concat("v", "s").alias("now"))
-    past = stretch.filter(F.col("date") <= F.date_sub("asof", GAP)).join(latest, keys)
+    now = F.max(F.when(F.col("date") == F.col("asof"), F.concat("v", "s"))).over(Window.partitionBy(*keys))
+    past = stretch.withColumn("now", now).filter((F.col("date") <= F.date_sub("asof", GAP)) & F.col("now").isNotNull())
     gaps = F.zip_with(F.concat("v", "s"), "now", lambda a, b: (a - b) * (a - b))
     distance = F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda a, b: a + b) / (2 * STRETCH))
     best = past.withColumn("distance", distance).groupBy(*keys).agg(F.min(F.struct(F.round("distance", 12).alias("d"), "date", "start", "value", "distance")).alias("b"))
@@ -162,7 +162,8 @@ def analog(series: DataFrame, keys: list[str]) -> DataFrame:
 def tag_summary(daily: DataFrame, keys: list[str]) -> DataFrame:
     """Per venue and tag: items of 7 days, change against the mean of 90 days, weighted sentiment and dense volume z.
 
-    ``asof`` is the venue's last tag day less the partial ones; tags without a day up to it have zeros and NULLs.
+    ``asof`` is the venue's last tag day less the partial ones; tags without a day up to it have zeros and NULLs. ``daily``
+    is read three times: pass a stored table.
     """
     asof = F.date_sub(F.max("date").over(Window.partitionBy(*keys)), PARTIAL)
     dated = daily.withColumn("asof", asof)

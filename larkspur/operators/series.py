@@ -62,16 +62,19 @@ def _counts() -> list[Column]:
     return [F.count_if(F.col("kind") == "post").alias("num_posts"), F.count_if(F.col("kind") == "comment").alias("num_comments")]
 
 
-def spine(daily: DataFrame, keys: list[str], day: str) -> DataFrame:
-    """Every calendar day from a key's first to its last."""
-    bounds = daily.filter(F.col(day).isNotNull()).groupBy(*keys).agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
-    return bounds.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias(day))
-
-
 def filled(daily: DataFrame, keys: list[str], day: str, zero: list[str]) -> DataFrame:
-    """The series without gaps: absent days have 0 in the ``zero`` columns and NULL elsewhere."""
-    out = spine(daily, keys, day).join(daily, [*keys, day], "left")
-    return out.withColumns({c: F.coalesce(c, F.lit(0)) for c in zero})
+    """The series without gaps: absent days have 0 in the ``zero`` columns and NULL elsewhere.
+
+    ``daily`` has one row per key and day. Each row is stretched to the day before the next one, so the calendar needs no
+    join and the series is computed once; rows without a day are dropped.
+    """
+    following = F.coalesce(F.lead(day).over(Window.partitionBy(*keys).orderBy(day)), F.date_add(day, 1))
+    spans = daily.filter(F.col(day).isNotNull()).withColumn("_next", following)
+    days = spans.withColumn("_day", F.explode(F.sequence(F.col(day), F.date_sub("_next", 1))))
+    own = F.col("_day") == F.col(day)
+    rest = [c for c in daily.columns if c not in (*keys, day)]
+    values = [F.when(own, F.coalesce(c, F.lit(0))).otherwise(0).alias(c) if c in zero else F.when(own, F.col(c)).alias(c) for c in rest]
+    return days.select(*keys, F.col("_day").alias(day), *values)
 
 
 def daily_volume(items: DataFrame) -> DataFrame:

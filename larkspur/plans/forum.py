@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions import clean, sentiment, text, times
 from larkspur.operators import asof, collection, evaluate, fit, gauge, rolling, sampling, series, threads
-from larkspur.scratch import fresh_path
+from larkspur.scratch import fresh_path, materialize
 from larkspur.session import table
 from larkspur.sources import raw, reports, taxonomy
 
@@ -60,7 +60,7 @@ def tag_weekly(spark, d):
 
 
 def tag_summary(spark, d):
-    return gauge.tag_summary(series.tag_daily(_joined(spark, d)), VENUE)
+    return gauge.tag_summary(materialize(series.tag_daily(_joined(spark, d)), "tag-daily"), VENUE)
 
 
 def series_receipt(spark, d):
@@ -278,11 +278,11 @@ def token_docfreq(spark, d):
 
 
 def token_association(spark, d):
-    return fit.associations(_bodies(spark, d)).withColumn("association", F.round("association", 6))
+    return fit.associations(materialize(_bodies(spark, d), "docs")).withColumn("association", F.round("association", 6))
 
 
 def top_terms(spark, d):
-    return fit.learned_lexicon(fit.associations(_bodies(spark, d), least_docs=20), scale=4.0, least=0.02)
+    return fit.learned_lexicon(fit.associations(materialize(_bodies(spark, d), "docs"), least_docs=20), scale=4.0, least=0.02)
 
 
 def grid_argmax(spark, d):
@@ -365,12 +365,12 @@ def raw_types(spark, d):
 
 def series_json(spark, d):
     full = _series(spark, d).withColumns({c: F.lit(None).cast("double") for c in ("pct_pos", "pct_neg")})
-    docs = reports.series_document(full, VENUE, {"lexicon": "seed-1", "tags": "tags-1"}, AT)
+    docs = reports.series_document(materialize(full, "series"), VENUE, {"lexicon": "seed-1", "tags": "tags-1"}, AT)
     return docs.select("subreddit", F.to_json(F.struct(*[c for c in docs.columns if c != "subreddit"])).alias("document"))
 
 
 def tags_json(spark, d):
-    docs = reports.tags_document(series.tag_daily(_joined(spark, d)), VENUE, AT)
+    docs = reports.tags_document(materialize(series.tag_daily(_joined(spark, d)), "tag-daily"), VENUE, AT)
     return docs.select("subreddit", F.to_json(F.struct("asof", "generated_at", "tags")).alias("document"))
 
 
@@ -441,7 +441,7 @@ def measured_change(spark, d):
 def distilled_lexicon(spark, d):
     """Thresholds and scale of the lexicon learned from comments, with its size."""
     banned = fit.entity_tokens([t for tag in taxonomy.default() for t in (*tag.search_terms, *tag.strict_terms)]) + sorted({*sentiment.DEGREES, *sentiment.NEGATIONS})
-    best = fit.distill(_bodies(spark, d), sentiment.SEED, banned, [2.0, 4.0], fit.grid(GRID_POS, GRID_NEG, GRID_NEU), least_docs=20, least=0.02)
+    best = fit.distill(materialize(_bodies(spark, d), "docs"), sentiment.SEED, banned, [2.0, 4.0], fit.grid(GRID_POS, GRID_NEG, GRID_NEU), least_docs=20, least=0.02)
     rows = [] if best is None else [(best["scale"], best["pos"], best["neg"], best["neu_min"], best["accuracy"], len(best["lexicon"]))]
     return spark.createDataFrame(rows, "scale double, pos double, neg double, neu_min double, accuracy double, n_words int")
 
