@@ -117,6 +117,5 @@ def receipt(series: DataFrame, keys: list[str]) -> DataFrame:
 
 def counts_by_month(items: DataFrame) -> DataFrame:
     """``subreddit, month_label, posts, comments`` and a grand total row whose subreddit and month are NULL."""
-    pivot = lambda *keys: items.groupBy(*keys).agg(F.count_if(F.col("kind") == "post").alias("posts"), F.count_if(F.col("kind") == "comment").alias("comments"))
-    whole = pivot().select(F.lit(None).cast("string").alias("subreddit"), F.lit(None).cast("string").alias("month_label"), "posts", "comments")
-    return pivot("subreddit", "month_label").unionByName(whole)
+    counts = [F.count_if(F.col("kind") == "post").alias("posts"), F.count_if(F.col("kind") == "comment").alias("comments")]
+    return items.groupingSets([["subreddit", "month_label"], []], "subreddit", "month_label").agg(*counts)

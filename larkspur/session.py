@@ -10,6 +10,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",  # batches of very long texts must fit a worker
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
