@@ -15,8 +15,3 @@ def spark():
     s = session("tests", spark__master="local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="4g", spark__ui__showConsoleProgress="false")
     s.sparkContext.setLogLevel("ERROR")
     return s
-
-
-def rows(df, *columns):
-    """Sorted tuples of a small DataFrame."""
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=lambda r: tuple((x is not None, str(x)) for x in r))

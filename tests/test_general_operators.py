@@ -6,11 +6,12 @@ from datetime import date, datetime
 
 import numpy as np
 import pytest
-from conftest import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from small import rows
+
 from larkspur.operators import drift, exactly_once, hotkeys, references, rolling
 from larkspur.operators.hierarchy import hierarchy, peel, solve
 from larkspur.scratch import fresh_path

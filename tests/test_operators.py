@@ -7,11 +7,12 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from conftest import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from small import rows
+
 from larkspur.functions import clean, sentiment, text, times
 from larkspur.operators import asof, collection, evaluate, fit, gauge, sampling, series, threads
 from larkspur.sources.derived import Manifest

@@ -6,9 +6,10 @@ import gzip
 import json
 
 import pytest
-from conftest import rows
 from pyspark.sql import functions as F
 
+from small import rows
+
 from larkspur.functions import times
 from larkspur.operators import collection
 from larkspur.sources import archive, collect, derived, prices, raw, reports, schemas, scoring, taxonomy
