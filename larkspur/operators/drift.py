@@ -51,6 +51,8 @@ RULES = (
     FieldRule("retrieved_on", "bigint", ("retrieved_utc",)),
 )
 NATURAL = {"string": "string", "bigint": "number", "double": "number", "boolean": "boolean"}
+# Fields read through a document of their own; one that comes as text is parsed, which is a cast like any other.
+NESTED = {"_meta": "object"}
 
 
 def variant_type(value: Column) -> Column:
@@ -131,7 +133,7 @@ def schema_versions(raw: DataFrame) -> DataFrame:
     natural = {r.name: NATURAL[r.kind] for r in RULES}
     older = {old: r for r in RULES for old in r.renamed_from}
     rename = F.coalesce(*[F.when(F.col("field_name") == o, F.lit(f"rename:{o}>{r.name}")) for o, r in older.items()])
-    kind_of = natural | {o: NATURAL[r.kind] for o, r in older.items()}
+    kind_of = natural | {o: NATURAL[r.kind] for o, r in older.items()} | NESTED
     cast = F.coalesce(*[F.when((F.col("field_name") == n) & (F.col("bits").bitwiseAND(31 - TYPE_BITS[t]) != 0), F.lit(f"cast:{n}")) for n, t in kind_of.items()])
     files = field_states(raw).groupBy("file_key").agg(
         F.array_sort(F.collect_list(text)).alias("_states"),
@@ -169,9 +171,12 @@ def _value(rule: FieldRule) -> Column:
 def consistent_table(raw: DataFrame, rules: tuple[FieldRule, ...] = RULES) -> DataFrame:
     """All records in one schema, one row per line, whatever fields its file had: a single narrow pass, no shuffle.
 
-    Numeric text is cast, numbers cut toward zero for ``bigint``, ``edited`` times become true, and ``_meta`` gives
-    ``retrieved_2nd_on``. Unreadable lines keep their key with every field NULL or default. Unknown fields are left out
-    (``migration_steps`` reports them).
+    Numeric text is cast, numbers cut toward zero for ``bigint``, ``edited`` times become true, and ``_meta``, an object or
+    the text of one, gives ``retrieved_2nd_on`` and ``is_edited``. Unreadable lines keep their key with every field NULL or
+    default. Unknown fields are left out (``migration_steps`` reports them).
     """
-    stamp = F.when(variant_type(F.try_variant_get("doc", "$._meta.retrieved_2nd_on", "variant")).isin("number", "string"), F.try_variant_get("doc", "$._meta.retrieved_2nd_on", "string").try_cast("double").try_cast("bigint"))
-    return parsed(raw).select("file_key", "line_no", *[_value(r).alias(r.name) for r in rules], stamp.alias("retrieved_2nd_on"))
+    meta = F.try_parse_json(F.try_variant_get("doc", "$._meta", "string"))  # an object's string is its text
+    stamp = F.try_variant_get(meta, "$.retrieved_2nd_on", "string").try_cast("double").try_cast("bigint")
+    is_boolean = F.schema_of_variant(F.try_variant_get(meta, "$.is_edited", "variant")) == "BOOLEAN"
+    edited = F.when(is_boolean, F.try_variant_get(meta, "$.is_edited", "boolean")).otherwise(F.try_variant_get(meta, "$.is_edited", "double") > 0)
+    return parsed(raw).select("file_key", "line_no", *[_value(r).alias(r.name) for r in rules], stamp.alias("retrieved_2nd_on"), edited.alias("is_edited"))
