@@ -151,7 +151,7 @@ def text_join(spark, d):
 
 def regex_tags(spark, d):
     tags = taxonomy.default()
-    return table(spark, d, "documents").filter("lang = 'en'").select("doc_id", text.tags_joined(F.col("text"), tags).alias("tags"))
+    return table(spark, d, "documents").select("doc_id", text.tags_joined(F.col("text"), tags).alias("tags"))
 
 
 def word_length_era(spark, d):

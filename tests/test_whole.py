@@ -44,3 +44,16 @@ def test_no_stamp_of_a_stored_record_is_lost(spark):
         want.append((r["file_key"], r["line_no"], meta.get("retrieved_2nd_on"), meta.get("is_edited")))
     got = [tuple(r) for r in entry.queries()["p5_table"](spark, SF).select("file_key", "line_no", "retrieved_2nd_on", "is_edited").collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+@stored
+def test_documents_of_every_language_are_tagged(spark):
+    import re
+
+    from larkspur.functions import text
+    from larkspur.sources import taxonomy
+
+    patterns = [(t.key, [re.compile(p) for p in (text.loose_pattern(t), text.strict_pattern(t)) if p]) for t in taxonomy.default()]
+    docs = table(spark, SF, "documents").select("doc_id", "text").collect()
+    want = {r["doc_id"]: ";".join(key for key, ps in patterns if any(p.search(r["text"] or "") for p in ps)) for r in docs}
+    assert {r["doc_id"]: r["tags"] for r in entry.queries()["regex_tags"](spark, SF).collect()} == want
