@@ -33,7 +33,7 @@ def is_filled(x: Column) -> Column:
 
 
 def word_count(x: Column) -> Column:
-    return F.size(F.split(F.trim(x), r"\s+"))
+    return F.size(F.split(F.trim(x), r"[ \t\n\f\r]+"))  # the reference's white space: no vertical tab
 
 
 def length_bucket(words: Column) -> Column:

@@ -57,3 +57,12 @@ def test_documents_of_every_language_are_tagged(spark):
     docs = table(spark, SF, "documents").select("doc_id", "text").collect()
     want = {r["doc_id"]: ";".join(key for key, ps in patterns if any(p.search(r["text"] or "") for p in ps)) for r in docs}
     assert {r["doc_id"]: r["tags"] for r in entry.queries()["regex_tags"](spark, SF).collect()} == want
+
+
+@stored
+def test_words_of_the_whole_text_are_counted(spark):
+    import re
+
+    docs = table(spark, SF, "documents").select("doc_id", "text").collect()
+    want = {r["doc_id"]: len(re.split(r"[ \t\n\f\r]+", r["text"].strip(" "))) for r in docs if (r["text"] or "").strip(" ")}
+    assert {r["doc_id"]: r["words"] for r in entry.queries()["word_length_era"](spark, SF).collect()} == want
