@@ -290,7 +290,11 @@ def grid_argmax(spark, d):
     return fit.best_thresholds(rows, fit.grid(GRID_POS, GRID_NEG, GRID_NEU))
 
 
-GRID_POS, GRID_NEG, GRID_NEU = [0.05, 0.15, 0.25, 0.35], [-0.05, -0.15, -0.25, -0.35], [0.6, 0.75, 0.9, 2.0]
+# The reference's grids: fit with the neutral share's bound (2.0: never), distillation by the compound alone over four scales.
+GRID_POS = [round(0.02 * i, 2) for i in range(1, 21)]
+GRID_NEG = [-x for x in GRID_POS]
+GRID_NEU = [2.0, *(round(0.80 + 0.02 * i, 2) for i in range(11))]
+DISTILL_BAND, SCALES = [round(0.03 * i, 2) for i in range(1, 11)], [3.0, 4.5, 6.0, 8.0]
 
 
 def project_raw(spark, d):
@@ -441,7 +445,7 @@ def measured_change(spark, d):
 def distilled_lexicon(spark, d):
     """Thresholds and scale of the lexicon learned from comments, with its size."""
     banned = fit.entity_tokens([t for tag in taxonomy.default() for t in (*tag.search_terms, *tag.strict_terms)]) + sorted({*sentiment.DEGREES, *sentiment.NEGATIONS})
-    best = fit.distill(materialize(_bodies(spark, d), "docs"), sentiment.SEED, banned, [2.0, 4.0], fit.grid(GRID_POS, GRID_NEG, GRID_NEU), least_docs=20, least=0.02)
+    best = fit.distill(materialize(_bodies(spark, d), "docs"), sentiment.SEED, banned, SCALES, fit.grid(DISTILL_BAND, [-x for x in DISTILL_BAND], [2.0]), least_docs=20, least=0.02)
     rows = [] if best is None else [(best["scale"], best["pos"], best["neg"], best["neu_min"], best["accuracy"], len(best["lexicon"]))]
     return spark.createDataFrame(rows, "scale double, pos double, neg double, neu_min double, accuracy double, n_words int")
 
