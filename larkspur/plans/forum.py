@@ -261,10 +261,10 @@ def allocate_strata(spark, d):
     rows = items.join(_enriched(spark, d).select("kind", "id", "tags"), ["kind", "id"]).withColumn("text", body).filter(text.is_filled(F.col("text")))
     words = text.word_count(F.col("text"))
     candidates = rows.select("id", "kind", F.coalesce(times.year_of(F.col("created_utc")), F.lit("none")).alias("era"), text.length_bucket(words).alias("length"), F.col("removal_category").isNotNull().alias("removed"), F.coalesce("tags", F.array().cast("array<string>")).alias("tags_hit"))
-    candidates = candidates.dropDuplicates(["id"])  # a post and a comment may share a bare id
-    q = sampling.Quotas()
-    held = [r.asDict() for r in sampling.shortlist(candidates, q).toLocalIterator()]  # bounded by strata times sample size
-    picked = sampling.allocate(held, q)
+    candidates = materialize(candidates, "candidates")  # read three times
+    q, counts = sampling.Quotas(), sampling.tag_counts(candidates)
+    held = [r.asDict() for r in sampling.shortlist(candidates, q, len(counts)).toLocalIterator()]  # bounded by strata times picks
+    picked = sampling.allocate(held, q, counts)
     return spark.createDataFrame([(r["id"], r["kind"], r["era"], r["length"], r["pick_reason"]) for r in picked], "id string, kind string, era string, length string, pick_reason string")
 
 

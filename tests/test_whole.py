@@ -93,3 +93,26 @@ def test_full_grid_against_brute_force(spark):
     assert len(combos) == 4800
     got = fit.best_thresholds(spark.createDataFrame(data, "compound double, neu double, gold int"), combos).first()
     assert tuple(got)[:3] == combos[hits.index(max(hits))][1:] and got["accuracy"] == round(max(hits) / 300, 6)
+
+
+def test_allocation_from_the_shortlist_is_that_from_all(spark):
+    import random
+
+    from larkspur.operators import sampling
+
+    rng, q = random.Random(7), sampling.Quotas(totals={"post": 12, "comment": 24}, no_hit={"post": 2, "comment": 4}, removed=3, per_tag=3)
+    rows = []
+    for era in ("2021", "2022"):
+        for kind, n in (("post", 300), ("comment", 600)):
+            # A is commoner than B over all, but both fill their strata; ids of posts and comments coincide.
+            for i in range(n):
+                tags = [] if rng.random() < 0.2 else rng.sample(["B", "A", "A", "A", "C"], 2)
+                rows.append({"id": f"{era}{i}", "kind": kind, "era": era, "length": rng.choice(["short", "medium", "long"]), "removed": kind == "post" and rng.random() < 0.1, "tags_hit": sorted(set(tags))})
+    df = spark.createDataFrame(rows, "id string, kind string, era string, length string, removed boolean, tags_hit array<string>")
+    counts = sampling.tag_counts(df)
+    held = [r.asDict() for r in sampling.shortlist(df, q, len(counts)).collect()]
+    picks = lambda found: [(r["kind"], r["id"], r["pick_reason"]) for r in found]
+    want = picks(sampling.allocate(rows, q))
+    assert len(held) < len(rows) and len(want) == len(set(want)) == 36
+    assert picks(sampling.allocate(held, q, counts)) == want
+    assert counts["B"] < counts["A"]
