@@ -162,7 +162,7 @@ def word_length_era(spark, d):
 
 def text_views(spark, d):
     c = F.col("text")
-    return table(spark, d, "documents").filter(c.isNotNull()).select("doc_id", F.md5(text.truncated(c, 500)).alias("cut_md5"), text.slug(F.col("source")).alias("slug"))
+    return table(spark, d, "documents").filter(c.isNotNull()).select("doc_id", F.md5(text.truncated(c)).alias("cut_md5"), text.slug(F.col("source")).alias("slug"))
 
 
 def polarity_labels(spark, d):

@@ -116,3 +116,12 @@ def test_allocation_from_the_shortlist_is_that_from_all(spark):
     assert len(held) < len(rows) and len(want) == len(set(want)) == 36
     assert picks(sampling.allocate(held, q, counts)) == want
     assert counts["B"] < counts["A"]
+
+
+@stored
+def test_views_are_cut_at_the_operators_bound(spark):
+    from hashlib import md5
+
+    docs = [r for r in table(spark, SF, "documents").select("doc_id", "text").collect() if r["text"] is not None]
+    want = {r["doc_id"]: md5((r["text"] if len(r["text"]) <= 8000 else r["text"][:8000] + "\n[truncated]").encode()).hexdigest() for r in docs}
+    assert {r["doc_id"]: r["cut_md5"] for r in entry.queries()["text_views"](spark, SF).collect()} == want
