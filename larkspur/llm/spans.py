@@ -1,8 +1,8 @@
 """Long spans that stand verbatim in more than one document.
 
-Relative parsing against an index of all documents: the index is split into reference blocks by content hash, a document
-asks only the blocks that hold one of its anchors, and a phrase is extended as long as the text that it covers stands in
-some other document, so its ends are the boundaries of a greedy parse against every block at once.
+Shared grams, not a relative parse: the index of all documents is split into blocks by content hash and a document asks
+only the blocks that hold one of its anchors. A span's ends are exact, but no longest factors are sought and no greedy parse
+is made.
 
 1. Anchors: of every ``length - anchor + 1`` successive ``anchor``-grams the one of least hash (winnowing). Any span of
    ``length`` characters holds an anchor, and equal spans hold the same one. About two of a hundred positions are kept.
@@ -201,7 +201,7 @@ def shared_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) ->
 
 
 def factors(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
-    """``doc_id, factor_start, factor_end, source_doc, source_start``: the parse of each document relative to the others.
+    """``doc_id, factor_start, factor_end, source_doc, source_start``: copies in each document, by source; no greedy parse.
 
     Every shared gram refers to its first place in the least other document that holds it (for that document
     itself, in the greatest); a factor runs on while source
