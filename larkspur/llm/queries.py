@@ -88,13 +88,20 @@ marked AS (SELECT *, CASE WHEN pos <= lag(pos) OVER (PARTITION BY doc_id ORDER B
 runs AS (SELECT *, sum(is_new) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM marked)
 SELECT doc_id, min(pos) AS span_start, max(pos) + 150 AS span_end FROM runs GROUP BY doc_id, run""",
     "p10_factors": """
-WITH grams AS (SELECT doc_id, p - 1 AS pos, hash(substr(text, p, 150)) AS g FROM (SELECT doc_id, text, unnest(range(1, length(text) - 148)) AS p FROM documents WHERE length(text) >= 150)),
-firsts AS (SELECT doc_id, g, min(pos) AS pos FROM grams GROUP BY doc_id, g),
-ends AS (SELECT g, min(doc_id) AS lo, max(doc_id) AS hi, arg_min(pos, doc_id) AS lo_pos, arg_max(pos, doc_id) AS hi_pos FROM firsts GROUP BY g HAVING min(doc_id) <> max(doc_id)),
-met AS (SELECT doc_id, pos, CASE WHEN lo <> doc_id THEN lo ELSE hi END AS source_doc, CASE WHEN lo <> doc_id THEN lo_pos ELSE hi_pos END - pos AS shift FROM grams JOIN ends ON grams.g = ends.g),
-marked AS (SELECT *, CASE WHEN lag(pos) OVER w = pos - 1 AND lag(source_doc) OVER w = source_doc AND lag(shift) OVER w = shift THEN 0 ELSE 1 END AS is_new FROM met WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-runs AS (SELECT *, sum(is_new) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM marked)
-SELECT doc_id, min(pos) AS factor_start, max(pos) + 150 AS factor_end, source_doc, min(pos) + shift AS source_start FROM runs GROUP BY doc_id, run, source_doc, shift""",
+WITH RECURSIVE grams AS (SELECT doc_id, p - 1 AS pos, hash(substr(text, p, 150)) AS g FROM (SELECT doc_id, text, unnest(range(1, length(text) - 148)) AS p FROM documents WHERE length(text) >= 150)),
+met AS (SELECT a.doc_id, a.pos, b.doc_id AS source_doc, b.pos - a.pos AS shift FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id),
+marked AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, source_doc, shift ORDER BY pos) AS run FROM met),
+matches AS (SELECT doc_id, source_doc, shift, min(pos) AS s, max(pos) AS last FROM marked GROUP BY doc_id, source_doc, shift, run),
+hits AS (SELECT DISTINCT doc_id, pos FROM met),
+best AS (
+  SELECT * FROM (SELECT h.doc_id, h.pos, m.s, m.last, m.source_doc, m.s + m.shift AS source_start,
+                        row_number() OVER (PARTITION BY h.doc_id, h.pos ORDER BY m.last DESC, m.s, m.source_doc, m.shift) AS rn
+                 FROM hits h JOIN matches m ON m.doc_id = h.doc_id AND h.pos BETWEEN m.s AND m.last) WHERE rn = 1),
+onward AS (SELECT b.doc_id, b.pos, min(h.pos) AS next FROM best b JOIN hits h ON h.doc_id = b.doc_id AND h.pos > b.last GROUP BY b.doc_id, b.pos),
+parse AS (
+  SELECT doc_id, min(pos) AS pos FROM hits GROUP BY doc_id
+  UNION ALL SELECT p.doc_id, o.next FROM parse p JOIN onward o ON o.doc_id = p.doc_id AND o.pos = p.pos)
+SELECT b.doc_id, b.s AS factor_start, b.last + 150 AS factor_end, b.source_doc, b.source_start FROM parse p JOIN best b ON b.doc_id = p.doc_id AND b.pos = p.pos""",
     "p10_portion": """
 WITH grams AS (SELECT doc_id, p - 1 AS pos, hash(substr(text, p, 150)) AS g FROM (SELECT doc_id, text, unnest(range(1, length(text) - 148)) AS p FROM documents WHERE length(text) >= 150)),
 hits AS (SELECT doc_id, pos FROM grams WHERE g IN (SELECT g FROM grams GROUP BY g HAVING count(DISTINCT doc_id) > 1)),

@@ -55,6 +55,29 @@ def test_pairs_and_spans_against_brute_force(spark):
         assert {tuple(r) for r in spans.shared_spans(df, 30, 10).collect()} == brute_spans(texts, 30)
 
 
+def test_blocks_and_cut_segments_do_not_matter(spark, monkeypatch):
+    texts = make(np.random.default_rng(9))
+    df = frame(spark, texts)
+    monkeypatch.setattr(spans.segments, "__defaults__", (spans.LENGTH, spans.ANCHOR, 70))  # segments of at most 70 characters
+    assert {tuple(r) for r in spans.sharing_pairs(df, 30, 10, 400).collect()} == brute_pairs(texts, 30)
+    assert {tuple(r) for r in spans.shared_spans(df, 30, 10, 400).collect()} == brute_spans(texts, 30)
+
+
+def test_a_source_that_begins_inside_a_longer_factor_is_found():
+    a, b = "".join(chr(2000 + i) for i in range(60)), "".join(chr(3000 + i) for i in range(60))
+    block = spans.Block([(1, 0, a + b[:30]), (2, 0, a[40:] + b)], 30)
+    found = {tuple(int(x) for x in r) for part in block.parse([(9, 5, "-" + a + b)]) for r in zip(*part)}
+    assert found == {(0, 6, 96, 1, 0), (0, 46, 126, 2, 0)}
+
+
+def test_greedy_parse_takes_the_longest_at_each_uncovered_gram(spark):
+    rng = np.random.default_rng(2)
+    a = "".join(chr(int(x)) for x in rng.integers(1000, 60_000 - 5000, 100))
+    texts = {1: a, 2: a[:40], 3: a[:60], 4: a[20:80] + "!", 5: a[70:]}
+    got = sorted(tuple(r) for r in spans.factors(frame(spark, texts), 20, 8).collect() if r["doc_id"] == 1)
+    assert got == [(1, 0, 60, 3, 0), (1, 20, 80, 4, 0), (1, 70, 100, 5, 0)]
+
+
 def test_factors_stand_at_their_sources_and_cover_the_spans(spark):
     for seed in range(2):
         texts = make(np.random.default_rng(seed))
