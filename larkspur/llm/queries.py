@@ -35,6 +35,23 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(packing.pack(_sizes(spark, d), containers), containers)
 
 
+def p8_breeding(spark: SparkSession, d: str) -> DataFrame:
+    return packing.breeding_report(_sizes(spark, d), table(spark, d, "pack_sizes"))
+
+
+def p8_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Per container and document: whether its pieces are numbered without a gap and hold its tokens, and per container
+    the share of bins within the capacity."""
+    sizes, containers = _sizes(spark, d), table(spark, d, "pack_sizes")
+    packed = materialize(packing.pack(sizes, containers), "packing")
+    fill = packed.groupBy("container_name", "bin_id").agg(F.sum("n_tokens").alias("t")).join(containers, "container_name").groupBy("container_name").agg(F.count_if(F.col("t") > F.col("capacity_tokens")).alias("over_full"))
+    per = packed.groupBy("container_name", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("piece").alias("k"), F.max("piece").alias("last"), F.sum("n_tokens").alias("t"), F.max("n_tokens").alias("longest"))
+    checked = per.join(sizes, "doc_id").join(containers, "container_name").join(fill, "container_name")
+    cut_only_if_longer = (F.col("n") == 1) | ((F.col("n_tokens") > F.col("capacity_tokens")) & (F.col("longest") == F.col("capacity_tokens")))
+    once = (F.col("n") == F.col("k")) & (F.col("last") == F.col("n") - 1) & (F.col("t") == F.col("n_tokens"))
+    return checked.select("container_name", "doc_id", once.alias("packed_once"), cut_only_if_longer.alias("cut_only_if_longer"), "over_full")
+
+
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(_sizes(spark, d), table(spark, d, "mix_targets"))
 
@@ -44,6 +61,19 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(mixing.mix(_sizes(spark, d), targets), targets)
 
 
+def p9_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Per target: whether its share of the mix is met within a thousandth, of what the sources with documents can give,
+    and whether no document occurs more often than allowed."""
+    targets = table(spark, d, "mix_targets")
+    sizes = _sizes(spark, d)
+    mixed = materialize(mixing.mix(sizes, targets), "mix")
+    filled = sizes.filter("n_tokens > 0").select("source").distinct().withColumn("has_documents", F.lit(True))
+    known = mixing.shares(mixed, targets).join(filled, "source", "left").join(targets.select("source", "max_repeats"), "source")
+    whole = known.filter("has_documents").agg(F.sum("target_share").alias("_whole"))
+    due = F.when(F.col("has_documents"), F.col("target_share") / F.col("_whole")).otherwise(0.0)
+    return known.join(F.broadcast(whole)).select("source", F.coalesce("has_documents", F.lit(False)).alias("has_documents"), (F.abs(F.col("actual_share") - due) < 0.001).alias("share_met"), (F.coalesce("most_copies", F.lit(0)) <= F.col("max_repeats")).alias("repeats_kept"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.sharing_pairs(table(spark, d, "documents"))
 
@@ -60,7 +90,7 @@ def p10_portion(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_portion(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_associations, p8_packing, p8_fill, p9_mix, p9_shares, p10_found, p10_spans, p10_factors, p10_portion)}
+QUERIES = {f.__name__: f for f in (p7_found, p7_associations, p8_packing, p8_fill, p8_breeding, p8_whole, p9_mix, p9_shares, p9_kept, p10_found, p10_spans, p10_factors, p10_portion)}
 
 _PAIRS = """
 WITH sets AS (
@@ -80,6 +110,8 @@ WHERE n_ab::HUGEINT * n_all >= 4::HUGEINT * x.n * y.n AND 500 * n_ab >= n_all"""
     "p7_associations": _PAIRS
     + """ SELECT tag_a, tag_b, n_ab, x.n AS n_a, y.n AS n_b, n_all, round(n_ab::DOUBLE * n_all / (x.n::DOUBLE * y.n), 6) AS lift
 FROM pairs JOIN single x ON x.tag = tag_a JOIN single y ON y.tag = tag_b, total""",
+    "p8_whole": "SELECT container_name, doc_id, TRUE AS packed_once, TRUE AS cut_only_if_longer, CAST(0 AS BIGINT) AS over_full FROM documents, pack_sizes",
+    "p9_kept": """SELECT source, EXISTS (SELECT 1 FROM documents d WHERE d.source = t.source AND text <> '') AS has_documents, TRUE AS share_met, TRUE AS repeats_kept FROM mix_targets t""",
     "p10_found": _GRAMS + " SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id",
     "p10_spans": """
 WITH grams AS (SELECT doc_id, p - 1 AS pos, hash(substr(text, p, 150)) AS g FROM (SELECT doc_id, text, unnest(range(1, length(text) - 148)) AS p FROM documents WHERE length(text) >= 150)),
