@@ -2,31 +2,42 @@
 
 ``MessageStore`` holds one winner per key, partitioned. A batch is folded to one candidate per key, the identifier index
 tells which historical partitions hold those keys, only those partitions are read, merged and rewritten into a new
-version folder, and one atomic rename of the manifest publishes data and index together. A run that dies before the
-rename leaves the published version untouched, and a batch that is applied again under its ``batch_id`` changes nothing.
+version folder, and one manifest of the next number publishes data and index together. A run that dies before that leaves
+the published version untouched, a batch that is applied again under its ``batch_id`` changes nothing, and of two writers
+that start from one version the later to publish fails and can start again from what the other left.
+
+The index (key and partition) is dealt into buckets by a hash of the key; a batch reads the buckets its keys fall into.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NO_PARTITION = "__none__"
+MOST_INDEX_PARTS = 16  # a bucket of the index in more pieces is rewritten as one
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer has published the version that this one was about to."""
 
 
 def fold(df: DataFrame, keys: list[str], order: list[Column], copies: Column, extra: list[str] | None = None) -> DataFrame:
     """One row per key: the row greatest by ``order`` (NULL lowest) and ``n_copies``.
 
     An algebraic maximum, combined before the shuffle: a key with a third of all rows sends one row per map task. Rows in
-    which a key is NULL cannot be told apart from others and are dropped. Full ties are broken by the remaining columns.
+    which a key is NULL cannot be told apart from others and are dropped. Full ties are broken by a hash of the remaining
+    columns, so that they travel once and not in the ordering as well.
     """
     extra = extra or []
     rest = [c for c in df.columns if c not in (*keys, *extra, "n_copies")]
-    plain = [c for c in rest if not df.schema[c].dataType.typeName() in ("map", "variant")]
-    best = F.max_by(F.struct(*rest), F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *plain))
+    plain = [c for c in rest if df.schema[c].dataType.typeName() not in ("map", "variant")]
+    tie = [F.xxhash64(*plain).alias("_tie")] if plain else []
+    best = F.max_by(F.struct(*rest), F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *tie))
     known = df
     for key in keys:
         known = known.filter(F.col(key).isNotNull())
@@ -36,41 +47,59 @@ def fold(df: DataFrame, keys: list[str], order: list[Column], copies: Column, ex
 
 @dataclass
 class MessageStore:
-    """One winner per key under ``path``; ``partition`` names the column whose first seen value places a key for good."""
+    """One winner per key under ``path``; ``partition`` names the column whose first seen value places a key for good.
+
+    ``buckets`` is the number of parts of the index, fixed when the store is made; ``rows_per_file`` about what a task
+    writes of one partition.
+    """
 
     spark: SparkSession
     path: str
     keys: list[str]
     order: list[Column]
     partition: str
-    _manifest: dict = field(default_factory=lambda: {"version": 0, "parts": {}, "index": [], "batches": []})
+    buckets: int = 64
+    rows_per_file: int = 1_000_000
+    _manifest: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        jvm = self.spark._jvm
         self._conf = self.spark._jsc.hadoopConfiguration()
-        target = self._path("_manifest.json")
-        fs = target.getFileSystem(self._conf)
-        if fs.exists(target):
-            stream = fs.open(target)
-            self._manifest = json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-            stream.close()
+        self._manifest = {"version": 0, "buckets": self.buckets, "parts": {}, "index": {}, "batches": [], "retired": []}
+        folder = self._path("_manifest")
+        fs = folder.getFileSystem(self._conf)
+        if fs.exists(folder):
+            names = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
+            if names:
+                stream = fs.open(self._path(f"_manifest/{names[-1]}"))
+                self._manifest = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+                stream.close()
+        self.buckets = self._manifest["buckets"]
 
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
 
-    def _publish(self, manifest: dict) -> None:
-        jvm, temporary, target = self.spark._jvm, self._path(f"_manifest.{manifest['version']}"), self._path("_manifest.json")
+    def _publish(self, **changes) -> None:
+        """Write the next manifest under its number, which only one writer can do, and drop what the last but one retired."""
+        manifest = self._manifest | {"version": self._manifest["version"] + 1} | changes
+        jvm, name = self.spark._jvm, f"_manifest/{manifest['version']:010d}.json"
+        target, temporary = self._path(name), self._path(f"_manifest/.{manifest['version']}-{jvm.java.util.UUID.randomUUID()}")
         fs = target.getFileSystem(self._conf)
         stream = fs.create(temporary, True)
         stream.write(json.dumps(manifest).encode())
         stream.close()
-        option = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = option
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self._conf).rename(temporary, target, options)
+        none = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self._conf).rename(temporary, target, none)
+        except Exception as e:
+            if not fs.exists(target):
+                raise
+            fs.delete(temporary, False)
+            raise ConcurrentWrite(f"version {manifest['version']} of {self.path} is already there") from e
+        for old in self._manifest["retired"]:  # readers of the version before this one are done with those
+            fs.delete(self._path(old), True)
         self._manifest = manifest
 
-    def _read_parts(self, parts: list[str], schema) -> DataFrame | None:
+    def _read_parts(self, parts: list[str], schema=None) -> DataFrame | None:
         folders = [f"{self.path}/data/{self._manifest['parts'][p]}/_part={p}" for p in parts if p in self._manifest["parts"]]
         if not folders:
             return None
@@ -81,46 +110,72 @@ class MessageStore:
         """The published winners with ``n_copies``, the number of stored deliveries of each."""
         if not self._manifest["parts"]:
             raise ValueError("the store is empty: apply a batch first")
-        return self._read_parts(sorted(self._manifest["parts"]), None).drop("_part", "_version")
+        return self._read_parts(sorted(self._manifest["parts"])).drop("_part", "_version")
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _index(self, buckets: list[int], schema: str) -> DataFrame:
+        """The index of some buckets: keys and ``_old``, the partition that holds each."""
+        folders = [f"{self.path}/index/{label}/_bucket={b}" for b in buckets for label in self._manifest["index"].get(str(b), [])]
+        return self.spark.read.schema(schema).parquet(*folders).withColumnRenamed("_part", "_old") if folders else self.spark.createDataFrame([], schema.replace("_part", "_old"))
 
     def apply(self, batch: DataFrame, batch_id: str) -> list[str]:
         """Merge a batch; returns the partitions rewritten. An empty batch publishes nothing new but its id."""
         if batch_id in self._manifest["batches"]:
             return []
-        version = self._manifest["version"] + 1
-        label = f"_version={version}"
+        known, label = self._manifest["parts"], f"_version={self._manifest['version'] + 1}-{uuid.uuid4().hex[:8]}"  # no two writers share a folder
+        batches = [*self._manifest["batches"], batch_id]
         own = F.coalesce(F.nullif(F.col(self.partition).cast("string"), F.lit("")), F.lit(NO_PARTITION))
         incoming = fold(batch, self.keys, self.order, F.lit(1))
-        known = self._manifest["parts"]
+        out, retired, indexed = f"{self.path}/data/{label}", [], dict(self._manifest["index"])
         if not known:
-            merged = incoming.withColumn("_part", own)
-            new_keys = None
+            incoming.withColumn("_part", own).hint("rebalance", F.col("_part")).write.mode("overwrite").partitionBy("_part").parquet(out)
+            new_keys = self.spark.read.parquet(out).select(*self.keys, "_part")
         else:
-            index = self.spark.read.parquet(*[f"{self.path}/index/{v}" for v in self._manifest["index"]])
-            placed = incoming.join(index.withColumnRenamed("_part", "_old"), self.keys, "left")
+            keyed = batch
+            for key in self.keys:
+                keyed = keyed.filter(F.col(key).isNotNull())
+            touched = sorted(r[0] for r in keyed.select(self._bucket().alias("b")).distinct().collect())  # one number per bucket at most
+            if not touched:
+                self._publish(batches=batches, retired=[])
+                return []
+            schema = ", ".join(f"`{k}` {batch.schema[k].dataType.simpleString()}" for k in self.keys) + ", _part string"
             stage = f"{self.path}/stage/{label}"
-            placed.withColumn("_part", F.coalesce("_old", own)).write.mode("overwrite").parquet(stage)
+            # The fold leaves candidates spread by key, so only the narrow index is shuffled to meet them.
+            incoming.join(self._index(touched, schema), self.keys, "left").withColumn("_part", F.coalesce("_old", own)).write.mode("overwrite").parquet(stage)
             staged = self.spark.read.parquet(stage)
             new_keys = staged.filter(F.col("_old").isNull()).select(*self.keys, "_part")
-            staged = staged.drop("_old")
-            affected = [r[0] for r in staged.select("_part").distinct().collect()]  # one value per partition of the store
-            if not affected:
-                self._publish(self._manifest | {"batches": [*self._manifest["batches"], batch_id]})
-                return []
-            old = self._read_parts([p for p in affected if p in known], staged.schema)
-            both = staged if old is None else old.select(*staged.columns).unionByName(staged)
-            merged = fold(both, self.keys, self.order, F.col("n_copies"), ["_part"])
-        out = f"{self.path}/data/{label}"
-        merged.hint("rebalance", F.col("_part")).write.mode("overwrite").partitionBy("_part").parquet(out)
-        if new_keys is None:
-            new_keys = self.spark.read.parquet(out).select(*self.keys, "_part")
-        new_keys.write.mode("overwrite").parquet(f"{self.path}/index/{label}")
-        fs = self._path("data").getFileSystem(self._conf)
-        written = [s.getPath().getName().split("=", 1)[1] for s in fs.listStatus(self._path(f"data/{label}")) if s.isDirectory()]
-        parts = known | {p: label for p in written}
-        self._publish({"version": version, "parts": parts, "index": [*self._manifest["index"], label], "batches": [*self._manifest["batches"], batch_id]})
-        fs.delete(self._path("stage"), True)
-        for part, old_label in known.items():
-            if parts[part] != old_label:
-                fs.delete(self._path(f"data/{old_label}/_part={part}"), True)
-        return sorted(written)
+            crowded = [b for b in touched if len(indexed.get(str(b), [])) >= MOST_INDEX_PARTS]
+            if crowded:
+                new_keys = new_keys.unionByName(self._index(crowded, schema).withColumnRenamed("_old", "_part"))
+                for b in crowded:
+                    retired += [f"index/{old}/_bucket={b}" for old in indexed.pop(str(b))]
+            merged = self._merged(staged.drop("_old"))
+            merged.write.mode("overwrite").partitionBy("_part").parquet(out)
+            retired.append(f"stage/{label}")
+        new_keys.withColumn("_bucket", self._bucket()).hint("rebalance", F.col("_bucket")).write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/index/{label}")
+        for b in self._written(f"index/{label}"):
+            indexed[b] = [*indexed.get(b, []), label]
+        written = self._written(f"data/{label}")
+        retired += [f"data/{known[p]}/_part={p}" for p in written if p in known]
+        self._publish(parts=known | {p: label for p in written}, index=indexed, batches=batches, retired=retired)
+        return written
+
+    def _merged(self, staged: DataFrame) -> DataFrame:
+        """The affected partitions as they will be, spread by partition and, within large ones, by key: one shuffle both folds
+        and writes."""
+        counts = {r["_part"]: r["count"] for r in staged.groupBy("_part").count().collect()}  # one number per partition of the store
+        old = self._read_parts(list(counts), staged.schema)
+        if old is not None:
+            for r in old.groupBy("_part").count().collect():
+                counts[r["_part"]] += r["count"]
+        both = staged if old is None else old.select(*staged.columns).unionByName(staged)
+        spread = self.spark.createDataFrame([(p, -(-n // self.rows_per_file)) for p, n in counts.items()], "_part string, _files long")
+        both = both.join(F.broadcast(spread), "_part").withColumn("_sub", F.pmod(F.xxhash64(*self.keys), "_files")).drop("_files")
+        return fold(both.repartition("_part", "_sub"), self.keys, self.order, F.col("n_copies"), ["_part", "_sub"]).drop("_sub")
+
+    def _written(self, folder: str) -> list[str]:
+        """Values of the partition folders of a table just written."""
+        path = self._path(folder)
+        return sorted(s.getPath().getName().split("=", 1)[1] for s in path.getFileSystem(self._conf).listStatus(path) if s.isDirectory())

@@ -444,7 +444,7 @@ def measured_change(spark, d):
 
 def distilled_lexicon(spark, d):
     """Thresholds and scale of the lexicon learned from comments, with its size."""
-    banned = fit.entity_tokens([t for tag in taxonomy.default() for t in (*tag.search_terms, *tag.strict_terms)]) + sorted({*sentiment.DEGREES, *sentiment.NEGATIONS})
+    banned = fit.entity_tokens([t.text for tag in taxonomy.default() for t in tag.terms]) + sorted({*sentiment.DEGREES, *sentiment.NEGATIONS})
     best = fit.distill(materialize(_bodies(spark, d), "docs"), sentiment.SEED, banned, SCALES, fit.grid(DISTILL_BAND, [-x for x in DISTILL_BAND], [2.0]), least_docs=20, least=0.02)
     rows = [] if best is None else [(best["scale"], best["pos"], best["neg"], best["neu_min"], best["accuracy"], len(best["lexicon"]))]
     return spark.createDataFrame(rows, "scale double, pos double, neg double, neu_min double, accuracy double, n_words int")

@@ -64,8 +64,8 @@ _BODY_TEXT = "CASE WHEN i.kind = 'post' THEN concat_ws(chr(10) || chr(10), nulli
 def _tag_list(x: str) -> str:
     hits = []
     for tag in taxonomy.default():
-        tests = [f"regexp_matches({x}, '{p.replace(chr(39), chr(39) * 2)}')" for p in (text.loose_pattern(tag), text.strict_pattern(tag)) if p]
-        hits.append(f"CASE WHEN {' OR '.join(tests)} THEN '{tag.key}' END")
+        pattern = text.tag_pattern(tag).replace("'", "''")
+        hits.append(f"CASE WHEN regexp_matches({x}, '{pattern}') THEN '{tag.key}' END")
     return f"list_filter([{', '.join(hits)}], lambda t: t IS NOT NULL)"
 
 
@@ -165,12 +165,12 @@ SELECT *, concat_ws(chr(10), 'Post: ' || post_title, 'Parent: ' || substr(parent
     "date_range": f"WITH {_ITEMS} SELECT kind, id, {_DAY} AS day FROM items WHERE {_DAY} >= DATE '2024-01-15' AND {_DAY} < DATE '2024-02-01'",
     "text_clean": r"""SELECT doc_id, CASE WHEN t NOT IN ('', '[deleted]', '[removed]', '[deleted by user]') THEN text END AS text, CASE WHEN author NOT IN ('', '[deleted]', '[removed]') THEN author END AS author
 FROM (SELECT *, regexp_replace(regexp_replace(text, '^[\s\p{Z}\x0b]+', ''), '[\s\p{Z}\x0b]+$', '') AS t FROM documents)""",
-    "text_join": f"""WITH {_ITEMS} SELECT id, concat_ws(chr(10) || chr(10), nullif(title, ''), nullif(selftext, '')) AS enrich_text, CASE WHEN selftext IS NOT NULL THEN title || chr(10) || chr(10) || selftext ELSE title END AS post_text,
+    "text_join": f"""WITH {_ITEMS} SELECT id, concat_ws(chr(10) || chr(10), nullif(title, ''), nullif(selftext, '')) AS enrich_text, coalesce(title, '') || coalesce(chr(10) || chr(10) || selftext, '') AS post_text,
   concat_ws(' ', title, selftext) AS sample_text FROM items WHERE kind = 'post'""",
-    "regex_tags": f"SELECT doc_id, array_to_string({_tag_list('text')}, ';') AS tags FROM documents WHERE lang = 'en'",
+    "regex_tags": f"SELECT doc_id, array_to_string({_tag_list('text')}, ';') AS tags FROM documents",
     "word_length_era": r"""SELECT doc_id, words, CASE WHEN words < 25 THEN 'short' WHEN words > 150 THEN 'long' ELSE 'medium' END AS length, strftime(make_timestamp(created_utc * 1000000), '%Y') AS era
-FROM (SELECT *, CAST(len(string_split_regex(trim(regexp_replace(text, '[^\x21-\x7e]+', ' ', 'g'), ' '), '\s+')) AS INTEGER) AS words FROM documents WHERE text IS NOT NULL AND trim(text, ' ') <> '')""",
-    "text_views": r"""SELECT doc_id, md5(CASE WHEN length(text) > 500 THEN substr(text, 1, 500) || chr(10) || '[truncated]' ELSE text END) AS cut_md5,
+FROM (SELECT *, CAST(len(string_split_regex(trim(text, ' '), '[ \t\n\f\r]+')) AS INTEGER) AS words FROM documents WHERE text IS NOT NULL AND trim(text, ' ') <> '')""",
+    "text_views": r"""SELECT doc_id, md5(CASE WHEN length(text) > 8000 THEN substr(text, 1, 8000) || chr(10) || '[truncated]' ELSE text END) AS cut_md5,
   regexp_replace(regexp_replace(lower(source), '[^a-z0-9.-]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM documents WHERE text IS NOT NULL""",
     "polarity_labels": f"""WITH {_ENRICHED} SELECT kind, id, CASE WHEN vader_compound IS NULL THEN NULL WHEN 1 - abs(vader_compound) >= 0.8 THEN 'neu' WHEN vader_compound >= 0.3 THEN 'pos' WHEN vader_compound <= -0.2 THEN 'neg' ELSE 'neu' END AS label FROM enriched""",
     "md5_per_year": f"""WITH {_ITEMS} SELECT kind, id, era FROM (SELECT *, row_number() OVER (PARTITION BY kind, era ORDER BY md5(id), id) AS n FROM (SELECT kind, id, strftime(make_timestamp(created_utc * 1000000), '%Y') AS era FROM items)) WHERE n <= 400""",

@@ -11,8 +11,6 @@ from larkspur.operators import drift, exactly_once, hierarchy, hotkeys, referenc
 from larkspur.scratch import fresh_path
 from larkspur.session import table
 
-DELIVERY_FIELDS = ["id", "retrieved_2nd_on", "created_utc", "ingested_at", "batch_key", "line_no", "month_label"]
-
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return hotkeys.heavy_keys(table(spark, d, "comments"), ["link_id", "author"], percent=2).select("field_name", "key_value")
@@ -52,12 +50,11 @@ def _delivery_order() -> list[Column]:
     return [F.col("retrieved_2nd_on").isNotNull(), F.col("retrieved_2nd_on"), F.col("created_utc"), -F.unix_micros("ingested_at"), F.col("batch_key"), F.col("line_no")]
 
 
-def _deliver(spark: SparkSession, d: str, fields: list[str] | None, incoming_days: int = 90) -> DataFrame:
+def _deliver(spark: SparkSession, d: str, incoming_days: int = 90) -> DataFrame:
     """History first, then the last ``incoming_days`` of deliveries, through one store per kind."""
     out = []
     for name, kind in (("posts", "post"), ("comments", "comment")):
         rows = table(spark, d, name)
-        rows = rows.select(*fields) if fields else rows
         last = rows.agg(F.max("ingested_at")).collect()[0][0]
         store = exactly_once.MessageStore(spark, fresh_path(spark, f"messages-{kind}"), ["id"], _delivery_order(), "month_label")
         cut = F.col("ingested_at") > F.lit(last) - F.make_dt_interval(F.lit(incoming_days))
@@ -68,11 +65,11 @@ def _deliver(spark: SparkSession, d: str, fields: list[str] | None, incoming_day
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return _deliver(spark, d, DELIVERY_FIELDS).filter(F.col("n_copies") > 1).select("kind", "id")
+    return _deliver(spark, d).filter(F.col("n_copies") > 1).select("kind", "id")
 
 
 def p3_messages(spark: SparkSession, d: str) -> DataFrame:
-    return _deliver(spark, d, None).select("kind", "id", "author", "created_utc", "score", "title", "selftext", "body", "parent_id", "link_id", "retrieved_2nd_on", "month_label", "batch_key", "line_no", "n_copies")
+    return _deliver(spark, d).select("kind", "id", "author", "created_utc", "score", "title", "selftext", "body", "parent_id", "link_id", "retrieved_2nd_on", "month_label", "batch_key", "line_no", "n_copies")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -105,6 +102,12 @@ def p5_table(spark: SparkSession, d: str) -> DataFrame:
     return drift.consistent_table(table(spark, d, "raw_records"))
 
 
+def p5_rest(spark: SparkSession, d: str) -> DataFrame:
+    """What the consistent table has no column for: per field and type its records and the first and last file."""
+    rest = drift.unruled_fields(table(spark, d, "raw_records"))
+    return rest.groupBy("field_name", F.coalesce(drift.variant_type(F.col("value")), F.lit("null")).alias("type")).agg(F.count(F.lit(1)).alias("n"), F.min("file_key").alias("first_file"), F.max("file_key").alias("last_file"))
+
+
 def _daily(spark: SparkSession, d: str) -> DataFrame:
     counts = ["num_posts", "num_comments"]
     days = rolling.latest_edition(table(spark, d, "daily_sentiment"), ["subreddit"], "activity_date", "generated_at", counts)
@@ -143,7 +146,7 @@ def p6_compound(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_key_totals, p2_found, p2_report, p3_found, p3_messages, p4_found, p4_hierarchy, p4_paths, p5_found, p5_steps, p5_versions, p5_table, p6_found, p6_daily, p6_compound)
+    for f in (p1_found, p1_key_totals, p2_found, p2_report, p3_found, p3_messages, p4_found, p4_hierarchy, p4_paths, p5_found, p5_steps, p5_versions, p5_table, p5_rest, p6_found, p6_daily, p6_compound)
 }
 
 _REFS = """
@@ -181,6 +184,10 @@ walk AS (SELECT id, parent AS seen FROM caught UNION SELECT w.id, c.parent FROM
 loops AS (SELECT id, min(seen) AS cycle_id FROM walk GROUP BY id HAVING bool_or(seen = id)),
 caught_by AS (SELECT w.id, min(l.cycle_id) AS cycle_id FROM walk w JOIN loops l ON w.seen = l.id GROUP BY w.id)"""
 
+_TOURED = """, cut AS (SELECT n.id, CASE WHEN n.id IN (SELECT id FROM loops) THEN NULL ELSE e.parent END AS up, e.parent FROM nodes n LEFT JOIN edges e ON e.id = n.id),
+tree AS (SELECT id, id AS root, 0 AS depth, id AS path FROM cut WHERE up IS NULL UNION ALL SELECT c.id, t.root, t.depth + 1, t.path || '/' || c.id FROM cut c JOIN tree t ON c.up = t.id),
+below AS (SELECT anc, count(*) - 1 AS n_descendants FROM (SELECT unnest(string_split(path, '/')) AS anc FROM tree) GROUP BY anc)"""
+
 _STATES = """
 WITH docs AS (SELECT file_key, record_json AS j FROM raw_records),
 fields AS (SELECT file_key, k AS field_name, json_type(json_extract(j, '$."' || k || '"')) AS t FROM (SELECT file_key, j, unnest(json_keys(j)) AS k FROM docs)),
@@ -237,11 +244,13 @@ SELECT 'post' AS kind, id FROM posts WHERE id IS NOT NULL GROUP BY id HAVING cou
 UNION ALL SELECT 'comment', id FROM comments WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1""",
     "p3_messages": _WINNERS.format(kind="post", table="posts") + " UNION ALL " + _WINNERS.format(kind="comment", table="comments"),
     "p4_found": _TREES + " SELECT * FROM caught_by",
-    "p4_paths": _TREES
-    + """, cut AS (SELECT n.id, CASE WHEN n.id IN (SELECT id FROM loops) THEN NULL ELSE e.parent END AS up, e.parent FROM nodes n LEFT JOIN edges e ON e.id = n.id),
-tree AS (SELECT id, id AS root, 0 AS depth, id AS path FROM cut WHERE up IS NULL UNION ALL SELECT c.id, t.root, t.depth + 1, t.path || '/' || c.id FROM cut c JOIN tree t ON c.up = t.id),
-below AS (SELECT anc, count(*) - 1 AS n_descendants FROM (SELECT unnest(string_split(path, '/')) AS anc FROM tree) GROUP BY anc)
-SELECT t.id, c.parent, t.root, t.depth, b.n_descendants, t.path, k.cycle_id FROM tree t JOIN cut c ON c.id = t.id JOIN below b ON b.anc = t.id LEFT JOIN caught_by k ON k.id = t.id""",
+    "p4_paths": _TREES + _TOURED + " SELECT t.id, c.parent, t.root, t.depth, b.n_descendants, t.path, k.cycle_id FROM tree t JOIN cut c ON c.id = t.id JOIN below b ON b.anc = t.id LEFT JOIN caught_by k ON k.id = t.id",
+    "p4_hierarchy": _TREES
+    + _TOURED
+    + """, ahead AS (SELECT c.id, c.up, coalesce(sum(2 * (b.n_descendants + 1)) OVER (PARTITION BY c.up ORDER BY c.id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM cut c JOIN below b ON b.anc = c.id),
+tour AS (SELECT id, CAST(0 AS BIGINT) AS entry FROM cut WHERE up IS NULL UNION ALL SELECT a.id, t.entry + 1 + CAST(a.before AS BIGINT) FROM ahead a JOIN tour t ON a.up = t.id)
+SELECT t.id, c.parent, t.root, t.depth, b.n_descendants, o.entry, o.entry + 2 * b.n_descendants + 1 AS exit, t.path, k.cycle_id
+FROM tree t JOIN cut c ON c.id = t.id JOIN below b ON b.anc = t.id JOIN tour o ON o.id = t.id LEFT JOIN caught_by k ON k.id = t.id""",
     "p5_found": _STATES + " SELECT file_key, field_name FROM changes",
     "p6_found": _DENSE + " SELECT subreddit, strftime(day, '%Y-%m-%d') AS day_label FROM totals WHERE day >= lo + 29 AND p30 + c30 >= 20 AND 10 * (p7 + c7) >= 7 * (p30 + c30)",
     "p6_daily": _DENSE
@@ -299,10 +308,20 @@ _NATURAL = {r.name: drift.NATURAL[r.kind] for r in drift.RULES} | {o: drift.NATU
 _RENAMED = "CASE field_name " + " ".join(f"WHEN '{o}' THEN 'rename:{o}>{r.name}'" for o, r in _OLDER.items()) + " END"
 _CASTS = "CASE WHEN state NOT IN ('', CASE field_name " + " ".join(f"WHEN '{n}' THEN '{t}'" for n, t in _NATURAL.items()) + " ELSE state END) THEN 'cast:' || field_name END"
 
+_RULED = ", ".join(f"'{n}'" for r in drift.RULES for n in (r.name, *r.renamed_from))
+_CASTS_META = "CASE WHEN field_name = '_meta' AND state NOT IN ('', 'object') THEN 'cast:_meta' END"
+_CASTS = f"coalesce({_CASTS}, {_CASTS_META})"
+
 SQL |= {
+    "p5_rest": f"""SELECT k AS field_name, CASE json_type(v) WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'NULL' THEN 'null' ELSE 'number' END AS type,
+  count(*) AS n, min(file_key) AS first_file, max(file_key) AS last_file
+FROM (SELECT file_key, k, json_extract(j, '$."' || k || '"') AS v FROM (SELECT file_key, record_json AS j, unnest(json_keys(record_json)) AS k FROM raw_records WHERE file_key IS NOT NULL)) WHERE k NOT IN ({_RULED}) GROUP BY ALL""",
+    # _meta is read by its own text: an object as it stands, a string by what it says if that is an object.
     "p5_table": f"""SELECT file_key, line_no, {", ".join(map(_rule_sql, drift.RULES))},
-  CASE WHEN json_type(j, '$._meta.retrieved_2nd_on') IN ('VARCHAR', 'UBIGINT', 'BIGINT', 'DOUBLE') THEN TRY_CAST(trunc(TRY_CAST(json_extract_string(j, '$._meta.retrieved_2nd_on') AS DOUBLE)) AS BIGINT) END AS retrieved_2nd_on
-FROM (SELECT file_key, line_no, record_json::JSON AS j FROM raw_records WHERE file_key IS NOT NULL)""",
+  CASE WHEN json_type(m, '$.retrieved_2nd_on') IN ('VARCHAR', 'UBIGINT', 'BIGINT', 'DOUBLE') THEN TRY_CAST(trunc(TRY_CAST(m->>'$.retrieved_2nd_on' AS DOUBLE)) AS BIGINT) END AS retrieved_2nd_on,
+  CASE WHEN json_type(m, '$.is_edited') = 'BOOLEAN' THEN CAST(m->>'$.is_edited' AS BOOLEAN) WHEN json_type(m, '$.is_edited') IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN CAST(m->>'$.is_edited' AS DOUBLE) > 0 END AS is_edited
+FROM (SELECT *, CASE WHEN json_type(j, '$._meta') = 'OBJECT' THEN json_extract(j, '$._meta') WHEN json_type(j, '$._meta') = 'VARCHAR' AND json_valid(j->>'$._meta') THEN (j->>'$._meta')::JSON END AS m
+      FROM (SELECT file_key, line_no, record_json::JSON AS j FROM raw_records WHERE file_key IS NOT NULL))""",
     "p5_versions": _STATES
     + f""", marked AS (
   SELECT file_key, list_sort(list(field_name || ':' || state)) AS states, list_sort(list({_RENAMED}) FILTER (WHERE {_RENAMED} IS NOT NULL)) AS renames, list_sort(list({_CASTS}) FILTER (WHERE {_CASTS} IS NOT NULL)) AS casts, list(field_name) AS names

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from small import rows
 
 from larkspur.operators import drift, exactly_once, hotkeys, references, rolling
-from larkspur.operators.hierarchy import hierarchy, peel, solve
+from larkspur.operators.hierarchy import _batches, hierarchy, measure, peel, placed, solve
 from larkspur.scratch import fresh_path
 
 
@@ -100,9 +100,42 @@ def test_store_result_does_not_depend_on_batches(spark):
     assert rows(one.read(), "id", "body", "n_copies") == rows(many.read(), "id", "body", "n_copies")
 
 
-def test_fold_breaks_full_ties_by_the_other_columns(spark):
-    df = spark.createDataFrame([("a", 1, "p"), ("a", 1, "q")], "id string, o int, body string")
-    assert rows(exactly_once.fold(df, ["id"], [F.col("o")], F.lit(1)), "body", "n_copies") == [("q", 2)]
+def test_fold_breaks_full_ties_by_the_other_columns_whatever_the_order(spark):
+    data = [("a", 1, b) for b in "pqrs"]
+    fold = lambda part: rows(exactly_once.fold(spark.createDataFrame(part, "id string, o int, body string").coalesce(1), ["id"], [F.col("o")], F.lit(1)), "body", "n_copies")
+    assert fold(data) == fold(data[::-1]) == fold(data[2:] + data[:2]) and fold(data)[0][1] == 4
+
+
+def test_of_two_writers_of_one_version_the_later_fails(spark):
+    s = _store(spark)
+    s.apply(spark.createDataFrame([("a", None, 1, "01", "x")], MESSAGES), "1")
+    late = exactly_once.MessageStore(spark, s.path, ["id"], ORDER(), "month")
+    s.apply(spark.createDataFrame([("b", None, 1, "01", "x")], MESSAGES), "2")
+    batch = spark.createDataFrame([("c", None, 1, "01", "x")], MESSAGES)
+    with pytest.raises(exactly_once.ConcurrentWrite):
+        late.apply(batch, "3")
+    again = exactly_once.MessageStore(spark, s.path, ["id"], ORDER(), "month")
+    again.apply(batch, "3")
+    assert rows(again.read(), "id") == [("a",), ("b",), ("c",)]
+
+
+def test_only_touched_buckets_of_the_index_are_read_and_crowded_ones_rewritten(spark, monkeypatch):
+    monkeypatch.setattr(exactly_once, "MOST_INDEX_PARTS", 2)
+    s = exactly_once.MessageStore(spark, fresh_path(spark, "t"), ["id"], ORDER(), "month", buckets=4, rows_per_file=3)
+    s.apply(spark.createDataFrame([(f"k{i}", None, 1, f"{i % 2}", "x") for i in range(20)], MESSAGES), "0")
+    before = {b: list(v) for b, v in s._manifest["index"].items()}
+    bucket = spark.createDataFrame([("k3", None, 2, "9", "y")], MESSAGES).select(s._bucket()).collect()[0][0]
+    read = []
+    index = s._index
+    s._index = lambda buckets, schema: (read.append(buckets), index(buckets, schema))[1]
+    for i in range(3):
+        assert s.apply(spark.createDataFrame([("k3", i, 2, "9", "y"), (f"n{i}", None, 1, "8", "z")], MESSAGES), f"x{i}") == ["1", "8"]
+    assert all(bucket in b and len(b) <= 2 for b in read[::2]) and set(before) == {"0", "1", "2", "3"}
+    assert all(len(v) <= 3 for v in s._manifest["index"].values())
+    got = {r["id"]: (r["n_copies"], r["body"]) for r in s.read().collect()}
+    assert len(got) == 23 and got["k3"] == (4, "y") and got["k4"] == (1, "x")
+    again = exactly_once.MessageStore(spark, s.path, ["id"], ORDER(), "month")
+    assert again.buckets == 4 and again.read().count() == 23
 
 
 # Hierarchies
@@ -135,14 +168,35 @@ forests = st.integers(1, 25).flatmap(lambda n: st.lists(st.one_of(st.none(), st.
 def test_solver_against_brute_force(parents):
     ids = np.array([f"n{i:02d}" for i in range(len(parents))], object)
     above = np.array([None if p is None else f"n{p:02d}" for p in parents], object)
-    got = solve(ids, above, np.zeros(len(ids), np.int64), True)
+    got = solve(ids, above)
     want = brute(dict(zip(ids, above)))
+    paths = {i: p for b in _batches(got, True) for i, p in zip(b.column("id").to_pylist(), b.column("path").to_pylist())}
     for i, node in enumerate(ids):
-        assert (got["root"][i], got["depth"][i], got["path"][i], got["cycle_id"][i], got["n_descendants"][i]) == want[node]
+        assert (got["root"][i], got["depth"][i], paths[node], got["cycle_id"][i], got["n_descendants"][i]) == want[node]
         inside = [m for j, m in enumerate(ids) if got["root"][j] == got["root"][i] and got["entry"][i] < got["entry"][j] < got["exit"][i]]
         assert len(inside) == want[node][4]
 
 
+@settings(max_examples=150, deadline=None)
+@given(forests)
+def test_peeled_core_has_the_places_of_the_whole(parents):
+    """Leaves are taken off once; the core's measures and places must be those that the whole tree gives."""
+    ids = np.array([f"n{i:02d}" for i in range(len(parents))], object)
+    above = np.array([None if p is None or p >= len(parents) else f"n{p:02d}" for p in parents], object)
+    want = solve(ids, above)
+    known = set(ids)
+    leaf = np.array([i not in set(above) and a in known for i, a in zip(ids, above)])
+    core = ~leaf
+    weight = np.array([1 + sum(a == i for a in above[leaf]) for i in ids[core]], np.int64)
+    got = measure(ids[core], above[core], weight)
+    assert list(got["size"] - 1) == list(want["n_descendants"][core]) and list(got["cycle_id"]) == list(want["cycle_id"][core])
+    at = {i: k for k, i in enumerate(ids)}
+    offset = np.array([0 if a is None else want["entry"][at[i]] - want["entry"][at[a]] for i, a in zip(got["id"], got["above"])], np.int64)
+    spots = placed(got["id"], got["above"], offset, got["size"])
+    for c in ("root", "depth", "entry"):
+        assert list(spots[c]) == list(want[c][core])
+
+
 def test_peeling_leaves_only_loops():
     assert list(peel(np.array([-1, 0, 3, 2, 2, 5]))) == [False, False, True, True, False, True]
 
@@ -174,6 +228,20 @@ def test_deep_chain_and_wide_parent(spark, most):
     assert len({r["entry"] for r in got.values()}) == 600
 
 
+@pytest.mark.parametrize("most", [40])
+def test_bushy_forest_peeled_by_joins_is_that_of_chunks(spark, most):
+    """Trees that shrink when peeled, with loops, a parent of many children, and one long chain that does not shrink."""
+    rng = np.random.default_rng(11)
+    data = [(f"r{i:03d}", f"t1_r{int(rng.integers(0, i)) if i else 0:03d}" if i else "t3_p", "t3_p", None, None) for i in range(150)]
+    data += [(f"q{i:03d}", f"t1_q{int(rng.integers(0, max(1, i // 6))):03d}", "t3_q", None, None) for i in range(150)]  # q000 is its own parent
+    data += [(f"s{i:03d}", f"t1_s{i - 1:03d}" if i else "t1_s149", "t3_s", None, None) for i in range(150)]  # one loop throughout
+    df = _comments(spark, data)
+    columns = ["id", "parent", "root", "depth", "n_descendants", "entry", "exit", "path", "cycle_id"]
+    whole = rows(hierarchy(df), *columns)
+    assert len(whole) == 450 and rows(hierarchy(df, max_group_rows=most), *columns) == whole
+    assert rows(hierarchy(df, with_path=False, only_loops=True, max_group_rows=most), "id", "cycle_id") == sorted((r[0], r[8]) for r in whole if r[8])
+
+
 def test_only_loops_and_empty_table(spark):
     df = _comments(spark, CASES)
     assert rows(hierarchy(df, with_path=False, only_loops=True), "id", "cycle_id") == [("", ""), ("e", "e"), ("f", "e"), ("g", "g"), ("h", "g")]

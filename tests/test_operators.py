@@ -16,7 +16,7 @@ from small import rows
 from larkspur.functions import clean, sentiment, text, times
 from larkspur.operators import asof, collection, evaluate, fit, gauge, sampling, series, threads
 from larkspur.sources.derived import Manifest
-from larkspur.sources.taxonomy import Tag
+from larkspur.sources.taxonomy import Tag, Term
 from larkspur.streaming import incremental, merge
 
 
@@ -62,7 +62,7 @@ def test_text_views(spark):
 
 
 def test_tags(spark):
-    tags = [Tag("A", "a", ("spot price", "u3"), ()), Tag("B", "b", (), ("EU",)), Tag("C", "c")]
+    tags = [Tag("A", "a", (Term("spot price"), Term("u3"))), Tag("B", "b", (Term("EU", True),)), Tag("C", "c")]
     got = values(spark, text.tags_for(F.col("x"), tags), ["the Spot Price", "u3x eu", "EU and $eu", "éEU", None, "SPOT price EU"])
     assert got == [["A"], [], ["B"], [], [], ["A", "B"]]
 

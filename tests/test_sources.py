@@ -31,27 +31,35 @@ class StubArchive:
 
 
 def _read(stub, full=100):
-    stats = archive.PageStats()
-    got = [r["id"] for page in archive.pages(stub, "s", "posts", 0, 10_000, stats, full, lambda _: None) for r in page]
-    return got, stats
+    pages = list(archive.read_window(stub, "s", "posts", 0, 10_000, full, lambda _: None))
+    return [r["id"] for page, _ in pages for r in page], [d for _, doubts in pages for d in doubts]
 
 
 @pytest.mark.parametrize("seconds", [[], [(5, 1)], [(s, 1) for s in range(1, 251)], [(7, 100)], [(3, 60), (4, 60), (5, 60)], [(3, 99), (9, 1)]])
 def test_paging_misses_no_row(seconds):
     stub = StubArchive(seconds)
-    got, stats = _read(stub)
-    assert set(got) == {r["id"] for r in stub.data} and not stats.floor_violation_at
+    got, doubts = _read(stub)
+    assert set(got) == {r["id"] for r in stub.data} and "floor" not in dict(doubts)
 
 
 def test_a_second_that_fills_a_page_is_unproven():
-    got, stats = _read(StubArchive([(3, 1), (5, 350), (9, 2)]))
-    assert stats.unproven_at == [5] and "9-1" in got
+    got, doubts = _read(StubArchive([(3, 1), (5, 350), (9, 2)]))
+    assert doubts == [("unproven", 5)] and "9-1" in got
 
 
 def test_a_row_after_a_short_page_breaks_the_floor():
     first = archive.Reply(200, {"data": [{"id": "a", "created_utc": 3}]})
     stub = StubArchive([(3, 1), (8, 1)], script=[first])
-    assert _read(stub)[1].floor_violation_at == [3]
+    assert _read(stub)[1] == [("floor", 3)]
+
+
+@pytest.mark.parametrize("at, times, full, onward, doubts", [
+    ((0, None), [], 3, None, []), ((0, None), [4, 7, 7], 3, (6, None), []), ((0, None), [4, 7], 3, (6, 7), []), ((6, 7), [7, 7], 3, (7, 7), []), ((6, None), [7, 7, 7], 3, (7, None), [("unproven", 7)]),
+    ((7, 7), [], 3, None, []), ((6, 7), [7, 9], 3, (8, 9), [("floor", 7)]), ((6, 7), [7, 7, 7], 3, (7, None), [("unproven", 7)]),
+])
+def test_turns_of_the_reading(at, times, full, onward, doubts):
+    got = archive.turn(archive.Position(*at), times, full)
+    assert got == (None if onward is None else archive.Position(*onward), doubts)
 
 
 def test_fetching_retries_and_fails_as_it_should():
@@ -65,7 +73,7 @@ def test_fetching_retries_and_fails_as_it_should():
     with pytest.raises(archive.ArchiveError):
         archive.fetch_page(StubArchive([], script=[archive.Reply(500)] * 5), {}, waits.append)
     with pytest.raises(archive.ArchiveError):
-        list(archive.pages(StubArchive([], script=[archive.Reply(200, {"data": [{"id": "x"}]})]), "s", "posts", 0, 9, archive.PageStats()))
+        list(archive.read_window(StubArchive([], script=[archive.Reply(200, {"data": [{"id": "x"}]})]), "s", "posts", 0, 9))
 
 
 MONTH = times.settled_month("2024-01", 2_000_000_000)
@@ -206,7 +214,10 @@ def test_scoring_falls_back_to_single_items_and_resumes(spark, tmp_path):
 def test_taxonomy_parsing(tmp_path):
     md = "| Tag | Entity | Search terms | Cues |\n|---|---|---|---|\n| `A` | a thing | one, \"two, too\", U3 ⚠ (odd, very), $/lb | hint |\n| `B` | none | | |\ntext\n| Other | x |\n"
     a, b = taxonomy.parse(md)
-    assert a == taxonomy.Tag("A", "a thing", ("one", "two, too", "$/lb"), ("U3",), "hint") and b.search_terms == ()
+    term = taxonomy.Term
+    assert a == taxonomy.Tag("A", "a thing", (term("one"), term("two, too"), term("U3", True), term("$/lb")), "hint") and b.terms == ()
+    assert list(taxonomy.terms_in('a "b, c" d (e, "f"), , ⚠ g, "open')) == [term("a b, c d"), term("g", True), term('"open')]
+    assert taxonomy.parse("| Tag |\n|---|\n| |\n| x |\n") == [taxonomy.Tag("x")] and taxonomy.parse("") == []
     taxonomy.publish([a, b], "v1", tmp_path / "t.json")
     assert taxonomy.load(tmp_path / "t.json") == ("v1", [a, b])
     with pytest.raises(FileExistsError):
