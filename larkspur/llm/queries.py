@@ -22,6 +22,12 @@ def p7_associations(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("item_a").alias("tag_a"), F.col("item_b").alias("tag_b"), "n_ab", "n_a", "n_b", "n_all", cooccurrence.lift().alias("lift"))
 
 
+def p7_monthly(spark: SparkSession, d: str) -> DataFrame:
+    """Tags used in the same subreddit and month: baskets of far more rows than a chunk."""
+    found = cooccurrence.associations(table(spark, d, "enrich"), ["subreddit", "month_label"], "tags")
+    return found.select(F.col("item_a").alias("tag_a"), F.col("item_b").alias("tag_b"), "n_ab", "n_a", "n_b", "n_all", cooccurrence.lift().alias("lift"))
+
+
 def _sizes(spark: SparkSession, d: str) -> DataFrame:
     return materialize(tokens.token_counts(table(spark, d, "documents"), keep=("doc_id", "source")), "sizes")
 
@@ -90,26 +96,28 @@ def p10_portion(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_portion(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_associations, p8_packing, p8_fill, p8_breeding, p8_whole, p9_mix, p9_shares, p9_kept, p10_found, p10_spans, p10_factors, p10_portion)}
+QUERIES = {f.__name__: f for f in (p7_found, p7_associations, p7_monthly, p8_packing, p8_fill, p8_breeding, p8_whole, p9_mix, p9_shares, p9_kept, p10_found, p10_spans, p10_factors, p10_portion)}
 
 _PAIRS = """
 WITH sets AS (
-  SELECT kind, id, list_distinct(flatten(list(tags))) AS items FROM enrich WHERE kind IS NOT NULL AND id IS NOT NULL AND tags IS NOT NULL GROUP BY kind, id
+  SELECT kind, id, list_distinct(flatten(list(tags))) AS items FROM (SELECT {k1} AS kind, {k2} AS id, tags FROM enrich) WHERE kind IS NOT NULL AND id IS NOT NULL AND tags IS NOT NULL GROUP BY kind, id
 ), each AS (SELECT kind, id, tag FROM (SELECT kind, id, unnest(items) AS tag FROM sets) WHERE tag IS NOT NULL),
 total AS (SELECT count(*) AS n_all FROM (SELECT DISTINCT kind, id FROM each)),
 single AS (SELECT tag, count(*) AS n FROM each GROUP BY tag),
 pairs AS (SELECT a.tag AS tag_a, b.tag AS tag_b, count(*) AS n_ab FROM each a JOIN each b ON a.kind = b.kind AND a.id = b.id AND a.tag < b.tag GROUP BY ALL)"""
 
+_LIFTS = """ SELECT tag_a, tag_b, n_ab, x.n AS n_a, y.n AS n_b, n_all, round(n_ab::DOUBLE * n_all / (x.n::DOUBLE * y.n), 6) AS lift
+FROM pairs JOIN single x ON x.tag = tag_a JOIN single y ON y.tag = tag_b, total"""
+
 _GRAMS = """
 WITH grams AS (SELECT DISTINCT doc_id, hash(substr(text, p, 150)) AS g FROM (SELECT doc_id, text, unnest(range(1, length(text) - 148)) AS p FROM documents WHERE length(text) >= 150))"""
 
 SQL = {
-    "p7_found": _PAIRS
+    "p7_found": _PAIRS.format(k1="kind", k2="id")
     + """ SELECT tag_a, tag_b FROM pairs JOIN single x ON x.tag = tag_a JOIN single y ON y.tag = tag_b, total
 WHERE n_ab::HUGEINT * n_all >= 4::HUGEINT * x.n * y.n AND 500 * n_ab >= n_all""",
-    "p7_associations": _PAIRS
-    + """ SELECT tag_a, tag_b, n_ab, x.n AS n_a, y.n AS n_b, n_all, round(n_ab::DOUBLE * n_all / (x.n::DOUBLE * y.n), 6) AS lift
-FROM pairs JOIN single x ON x.tag = tag_a JOIN single y ON y.tag = tag_b, total""",
+    "p7_associations": _PAIRS.format(k1="kind", k2="id") + _LIFTS,
+    "p7_monthly": _PAIRS.format(k1="subreddit", k2="month_label") + _LIFTS,
     "p8_whole": "SELECT container_name, doc_id, TRUE AS packed_once, TRUE AS cut_only_if_longer, CAST(0 AS BIGINT) AS over_full FROM documents, pack_sizes",
     "p9_kept": """SELECT source, EXISTS (SELECT 1 FROM documents d WHERE d.source = t.source AND text <> '') AS has_documents, TRUE AS share_met, TRUE AS repeats_kept FROM mix_targets t""",
     "p10_found": _GRAMS + " SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id",

@@ -34,8 +34,14 @@ def test_nulls_repeats_clashing_names_and_empty_tables(spark):
     assert co.associations(df.limit(0), ["kind", "id"], "tags").count() == 0
 
 
-def test_chunk_products_share_out_a_huge_basket(spark):
-    df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda x: F.lpad(x.cast("string"), 4, "0")).alias("items"), F.lit(1).cast("long").alias("weight"))
-    products = co.chunk_products(df, 100)
-    assert products.count() == 55 and products.agg(F.max(F.size("left"))).collect()[0][0] == 100
-    assert co.pair_counts(df, 100).count() == 1000 * 999 // 2
+def test_a_huge_basket_is_never_gathered(spark):
+    each = spark.range(1000).select(F.lit("b").alias("k"), F.lpad(F.col("id").cast("string"), 4, "0").alias("_item"))
+    products = co.chunk_products(each, ["k"], co.large_baskets(each, ["k"], 100))
+    sizes = products.agg(F.count(F.lit(1)), F.max(F.greatest(F.size("left"), F.size("right")))).collect()[0]
+    assert sizes[0] == 55 and sizes[1] < 150  # ten chunks, dealt by hash
+    assert co.pair_counts(products).agg(F.count(F.lit(1)), F.max("n_ab")).collect()[0][:] == (1000 * 999 // 2, 1)
+
+
+def test_repeated_rows_make_a_basket_large_but_count_once(spark):
+    df = spark.createDataFrame([("k", "1", ["a", "b"])] * 20 + [("k", "2", ["b"])] * 3, "kind string, id string, tags array<string>")
+    assert [tuple(r) for r in co.associations(df, ["kind", "id"], "tags", 4).collect()] == [("a", "b", 1, 1, 2, 2)]
