@@ -6,9 +6,11 @@ another word list. Scoring runs in Arrow batches.
 
 from __future__ import annotations
 
+import json
 import math
 import re
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column
@@ -59,6 +61,24 @@ class Lexicon:
         return {w: v for w, v in self.valences.items() if w not in dropped} | {w.lower(): v for w, v in self.overrides.items()}
 
 
+def publish_lexicon(lexicon: Lexicon, path: str | Path, force: bool = False) -> None:
+    """Write a lexicon with its overlay and thresholds as a configuration file; an existing one is kept unless ``force``."""
+    if Path(path).exists() and not force:
+        raise FileExistsError(path)
+    Path(path).write_text(json.dumps(asdict(lexicon), ensure_ascii=False), encoding="utf-8")
+
+
+def load_lexicon(path: str | Path) -> Lexicon:
+    held = json.loads(Path(path).read_text(encoding="utf-8"))
+    return Lexicon(**(held | {"neutralize": tuple(held.get("neutralize", ()))}))
+
+
+def word_list(path: str | Path) -> dict[str, float]:
+    """Valences of a tab-separated word list (word, mean valence, whatever follows), as polarity lexicons are published."""
+    rows = (line.split("\t") for line in Path(path).read_text(encoding="utf-8").splitlines() if line.strip())
+    return {r[0].lower(): float(r[1]) for r in rows if len(r) > 1}
+
+
 def _negates(word: str) -> bool:
     return word.replace("'", "").replace("’", "") in NEGATIONS or word.endswith(("n't", "n’t"))
 

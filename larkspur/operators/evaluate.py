@@ -84,9 +84,11 @@ def histogram(rows: DataFrame, fields: list[str]) -> DataFrame:
     return rows.select(pairs).groupBy("p.field_name", "p.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quota_report(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.round(F.count(F.lit(1)) / F.sum(F.count(F.lit(1))).over(Window.partitionBy()), 6).alias("share"))
+def element_counts(rows: DataFrame, field: str) -> DataFrame:
+    """``element, n``: in how many rows an element of an array column occurs, repeats within a row counted once."""
+    return rows.select(F.explode(F.array_distinct(F.array_compact(field))).alias("element")).groupBy("element").agg(F.count(F.lit(1)).alias("n"))
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+def misses(scored: DataFrame, compound: str, label: Column, gold: Column) -> DataFrame:
+    """Rows whose label is not the gold one, with both, in order of ``compound``; rows without either are no misses."""
+    return scored.withColumns({"label": label, "gold_label": gold}).filter(F.col("label") != F.col("gold_label")).orderBy(compound)

@@ -15,6 +15,12 @@ from larkspur.operators.sampling import hash_part
 # Limits and weights of the term association.
 LEAST_DOCS, SHRINKAGE, LEAST_ASSOCIATION, MOST_TERMS, MOST_VALENCE = 50, 30, 0.2, 400, 3.5
 
+# The grids searched: thresholds with the neutral share's bound (2.0: never), and for distillation by the compound alone over four scales.
+GRID_POS = [round(0.02 * i, 2) for i in range(1, 21)]
+GRID_NEG = [-x for x in GRID_POS]
+GRID_NEU = [2.0, *(round(0.80 + 0.02 * i, 2) for i in range(11))]
+DISTILL_BAND, SCALES = [round(0.03 * i, 2) for i in range(1, 11)], [3.0, 4.5, 6.0, 8.0]
+
 
 def doc_frequency(docs: DataFrame, banned: list[str] | None = None) -> DataFrame:
     """``token, n, n_pos, n_neg``: documents that hold a token, by the sign of their ``y``. A token counts once per document."""

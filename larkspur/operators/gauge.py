@@ -198,7 +198,3 @@ def last_change(series: DataFrame, keys: list[str], value: str) -> DataFrame:
     before = F.lag(value).over(_order(keys))
     out = series.withColumn("previous", before)
     return out.withColumns({"change": F.col(value) - F.col("previous"), "change_pct": F.col(value) / F.nullif(F.col("previous"), F.lit(0.0)) - 1})
-
-
-def weighted_mean(value: Column, weight: Column) -> Column:
-    return F.sum(F.when(value.isNotNull(), value * weight)) / F.nullif(F.sum(F.when(value.isNotNull(), weight)), F.lit(0))

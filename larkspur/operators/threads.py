@@ -21,13 +21,15 @@ def with_context(comments: DataFrame, posts: DataFrame, parent_chars: int | None
     return both.select("id", "link_id", "parent_id", "body", "post_title", "parent_body", context(F.col("post_title"), F.col("parent_body"), parent_chars).alias("context_text"))
 
 
-def only(rows: DataFrame, wanted: DataFrame, key: str = "id") -> DataFrame:
-    return rows.join(wanted.select(key), key, "left_semi")
+def only(rows: DataFrame, wanted: DataFrame, key: str | list[str] = "id") -> DataFrame:
+    keys = [key] if isinstance(key, str) else key
+    return rows.join(wanted.select(*keys), keys, "left_semi")
 
 
-def without(rows: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
+def without(rows: DataFrame, done: DataFrame, key: str | list[str] = "id") -> DataFrame:
     """Rows whose key is not among the done ones; rows with a NULL key stay."""
-    return rows.join(done.select(key), key, "left_anti")
+    keys = [key] if isinstance(key, str) else key
+    return rows.join(done.select(*keys), keys, "left_anti")
 
 
 def updated(rows: DataFrame, edits: DataFrame, key: str) -> DataFrame:

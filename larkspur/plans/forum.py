@@ -125,14 +125,13 @@ def thread_context(spark, d):
 
 
 def semi_teacher(spark, d):
-    """Comments in the archive whose record carries a tag."""
-    wanted = _enriched(spark, d).filter((F.col("kind") == "comment") & (F.size("tags") > 0))
-    return threads.only(_items(spark, d, "score").filter("kind = 'comment'"), wanted).select("id", "score")
+    """Items of the archive whose record carries a tag."""
+    wanted = _enriched(spark, d).filter(F.size("tags") > 0)
+    return threads.only(_items(spark, d, "score"), wanted, ["kind", "id"]).select("kind", "id", "score")
 
 
 def anti_holdout(spark, d):
-    done = _enriched(spark, d).filter("kind = 'comment'")
-    return threads.without(_items(spark, d, "score").filter("kind = 'comment'"), done).select("id", "score")
+    return threads.without(_items(spark, d, "score"), _enriched(spark, d), ["kind", "id"]).select("kind", "id", "score")
 
 
 def date_range(spark, d):
@@ -191,7 +190,7 @@ def md5_per_year(spark, d):
 
 
 def md5_top_n(spark, d):
-    return sampling.first_by_hash(_items(spark, d).filter("kind = 'comment'"), 500)
+    return sampling.first_by_hash(_items(spark, d), 500, ties=["kind"])
 
 
 def md5_parts(spark, d):
@@ -252,25 +251,18 @@ def quota_split(spark, d):
 
 
 def exemplars(spark, d):
-    return sampling.first_per_level(_rated(spark, d).filter("gold IS NOT NULL AND kind = 'comment'").select("id", "gold"), "gold", 4, "id")
+    return sampling.first_per_level(_rated(spark, d).filter("gold IS NOT NULL").select("kind", "id", "gold"), "gold", 4, "id", ties=["kind"])
 
 
 def allocate_strata(spark, d):
-    items = _items(spark, d, "title", "selftext", "body", "created_utc", "removal_category")
-    body = F.when(F.col("kind") == "post", text.sample_text(F.col("title"), F.col("selftext"))).otherwise(F.coalesce("body", F.lit("")))
-    rows = items.join(_enriched(spark, d).select("kind", "id", "tags"), ["kind", "id"]).withColumn("text", body).filter(text.is_filled(F.col("text")))
-    words = text.word_count(F.col("text"))
-    candidates = rows.select("id", "kind", F.coalesce(times.year_of(F.col("created_utc")), F.lit("none")).alias("era"), text.length_bucket(words).alias("length"), F.col("removal_category").isNotNull().alias("removed"), F.coalesce("tags", F.array().cast("array<string>")).alias("tags_hit"))
-    candidates = materialize(candidates, "candidates")  # read three times
-    q, counts = sampling.Quotas(), sampling.tag_counts(candidates)
-    held = [r.asDict() for r in sampling.shortlist(candidates, q, len(counts)).toLocalIterator()]  # bounded by strata times picks
-    picked = sampling.allocate(held, q, counts)
-    return spark.createDataFrame([(r["id"], r["kind"], r["era"], r["length"], r["pick_reason"]) for r in picked], "id string, kind string, era string, length string, pick_reason string")
+    return sampling.stratified(_items(spark, d, "title", "selftext", "body", "created_utc", "removal_category"), _enriched(spark, d))
 
 
 def _bodies(spark: SparkSession, d: str) -> DataFrame:
-    rows = _items(spark, d, "body").filter("kind = 'comment' AND body IS NOT NULL").join(_enriched(spark, d), ["kind", "id"])
-    return rows.filter("vader_compound IS NOT NULL").select("id", F.col("body").alias("text"), F.signum(F.round("vader_compound", 1)).cast("int").alias("y"))
+    """Texts of both kinds with the sign of their polarity."""
+    body = F.when(F.col("kind") == "post", text.enrich_text(F.col("title"), F.col("selftext"))).otherwise(F.col("body"))
+    rows = _items(spark, d, "title", "selftext", "body").withColumn("text", body).filter("text IS NOT NULL").join(_enriched(spark, d), ["kind", "id"])
+    return rows.filter("vader_compound IS NOT NULL").select("id", "text", F.signum(F.round("vader_compound", 1)).cast("int").alias("y"))
 
 
 def token_docfreq(spark, d):
@@ -287,14 +279,7 @@ def top_terms(spark, d):
 
 def grid_argmax(spark, d):
     rows = _rated(spark, d).select(F.col("vader_compound").alias("compound"), (1 - F.abs("vader_compound")).alias("neu"), F.col("scored").alias("gold"))
-    return fit.best_thresholds(rows, fit.grid(GRID_POS, GRID_NEG, GRID_NEU))
-
-
-# The reference's grids: fit with the neutral share's bound (2.0: never), distillation by the compound alone over four scales.
-GRID_POS = [round(0.02 * i, 2) for i in range(1, 21)]
-GRID_NEG = [-x for x in GRID_POS]
-GRID_NEU = [2.0, *(round(0.80 + 0.02 * i, 2) for i in range(11))]
-DISTILL_BAND, SCALES = [round(0.03 * i, 2) for i in range(1, 11)], [3.0, 4.5, 6.0, 8.0]
+    return fit.best_thresholds(rows, fit.grid(fit.GRID_POS, fit.GRID_NEG, fit.GRID_NEU))
 
 
 def project_raw(spark, d):
@@ -379,17 +364,22 @@ def tags_json(spark, d):
 
 
 def stream_merge(spark, d):
-    """Posts replayed file by file through the streaming merge."""
+    """Both kinds replayed file by file through the streaming merge."""
     from larkspur.plans.general import _delivery_order
     from larkspur.streaming.merge import merge_stream, merged
 
-    posts = table(spark, d, "posts")
-    single = posts.inputFiles()[0].rsplit("/", 1)[0].rstrip("/") != f"{d}/posts.parquet" and not posts.inputFiles()[0].rsplit("/", 1)[0].endswith("posts.parquet")
-    reader = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 4)
-    stream = reader.option("pathGlobFilter", "posts.parquet").parquet(d) if single else reader.parquet(f"{d}/posts.parquet")
-    path = fresh_path(spark, "stream")
-    merge_stream(stream, f"{path}/store", ["id"], _delivery_order, "month_label", f"{path}/checkpoint").awaitTermination()
-    return merged(spark, f"{path}/store", ["id"], _delivery_order(), "month_label").select("id", "score", "created_utc", "retrieved_2nd_on", "batch_key", "line_no", "n_copies")
+    out = None
+    for name, kind in (("posts", "post"), ("comments", "comment")):
+        files = table(spark, d, name)
+        reader = spark.readStream.schema(files.schema).option("maxFilesPerTrigger", 8)
+        # A table of one file is found by its name in its folder, one of several is a folder.
+        single = all(f.rstrip("/").endswith(f"/{name}.parquet") for f in files.inputFiles())
+        stream = reader.option("pathGlobFilter", f"{name}.parquet").parquet(d) if single else reader.parquet(f"{d}/{name}.parquet")
+        path = fresh_path(spark, "stream")
+        merge_stream(stream, f"{path}/store", ["id"], _delivery_order, "month_label", f"{path}/checkpoint").awaitTermination()
+        own = merged(spark, f"{path}/store", ["id"], _delivery_order(), "month_label").select(F.lit(kind).alias("kind"), "id", "score", "created_utc", "retrieved_2nd_on", "batch_key", "line_no", "n_copies")
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def receipt_names(spark, d):
@@ -411,9 +401,8 @@ def last_score_agreement(spark, d):
 
 
 def teacher_slices(spark, d):
-    """Sampled comments per slice, those already enriched left out."""
-    comments = _items(spark, d, "created_utc").filter("kind = 'comment'").select("id", "created_utc")
-    free = threads.without(comments, _enriched(spark, d).filter("kind = 'comment' AND size(tags) > 1"))
+    """Sampled items per slice, those already enriched left out."""
+    free = threads.without(_items(spark, d, "created_utc"), _enriched(spark, d).filter("size(tags) > 1"), ["kind", "id"])
     return sampling.slices(free, {"spike": ("2024-01-15", "2024-02-01", 200), "calm": ("2023-05-01", "2023-07-01", 100)}, 400)
 
 
@@ -443,9 +432,9 @@ def measured_change(spark, d):
 
 
 def distilled_lexicon(spark, d):
-    """Thresholds and scale of the lexicon learned from comments, with its size."""
+    """Thresholds and scale of the lexicon learned from posts and comments, with its size."""
     banned = fit.entity_tokens([t.text for tag in taxonomy.default() for t in tag.terms]) + sorted({*sentiment.DEGREES, *sentiment.NEGATIONS})
-    best = fit.distill(materialize(_bodies(spark, d), "docs"), sentiment.SEED, banned, SCALES, fit.grid(DISTILL_BAND, [-x for x in DISTILL_BAND], [2.0]), least_docs=20, least=0.02)
+    best = fit.distill(materialize(_bodies(spark, d), "docs"), sentiment.SEED, banned, fit.SCALES, fit.grid(fit.DISTILL_BAND, [-x for x in fit.DISTILL_BAND], [2.0]), least_docs=20, least=0.02)
     rows = [] if best is None else [(best["scale"], best["pos"], best["neg"], best["neu_min"], best["accuracy"], len(best["lexicon"]))]
     return spark.createDataFrame(rows, "scale double, pos double, neg double, neu_min double, accuracy double, n_words int")
 

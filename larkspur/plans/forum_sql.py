@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from larkspur.functions import text
-from larkspur.plans.forum import AT, GRID_NEG, GRID_NEU, GRID_POS
+from larkspur.operators.fit import GRID_NEG, GRID_NEU, GRID_POS
+from larkspur.plans.forum import AT
 from larkspur.sources import taxonomy
 
 _COMMON = "subreddit, month_label, id, author, created_utc, score, title, selftext, body, parent_id, link_id, removal_category, engagement_settled, retrieved_2nd_on, ingested_at, batch_key, line_no"
@@ -70,8 +71,8 @@ def _tag_list(x: str) -> str:
 
 
 _DOCS = f"""{_ITEMS}, {_ENRICHED}, docs AS (
-  SELECT i.id, lower(body) AS text, CAST(sign(round(vader_compound, 1)) AS INTEGER) AS y FROM items i JOIN enriched e ON i.kind = e.kind AND i.id = e.id
-  WHERE i.kind = 'comment' AND body IS NOT NULL AND vader_compound IS NOT NULL),
+  SELECT i.id, lower(CASE WHEN i.kind = 'post' THEN concat_ws(chr(10) || chr(10), nullif(title, ''), nullif(selftext, '')) ELSE body END) AS text, CAST(sign(round(vader_compound, 1)) AS INTEGER) AS y
+  FROM items i JOIN enriched e ON i.kind = e.kind AND i.id = e.id WHERE (i.kind = 'post' OR body IS NOT NULL) AND vader_compound IS NOT NULL),
 freq AS (
   SELECT token, count(*) AS n, count(*) FILTER (WHERE y > 0) AS n_pos, count(*) FILTER (WHERE y < 0) AS n_neg
   FROM (SELECT y, unnest(list_distinct(regexp_extract_all(text, '[a-z][a-z''’\\-]{{1,24}}'))) AS token FROM docs) GROUP BY token),
@@ -160,8 +161,8 @@ WHERE coalesce(p.date, c.date) BETWEEN (SELECT greatest((SELECT min(date) FROM p
     "thread_context": f"""WITH {_ITEMS}, c AS (SELECT * FROM items WHERE kind = 'comment'), looked AS (
   SELECT a.id, a.link_id, a.parent_id, a.body, p.title AS post_title, b.body AS parent_body FROM c a LEFT JOIN items p ON p.kind = 'post' AND p.id = replace(a.link_id, 't3_', '') LEFT JOIN c b ON a.parent_id LIKE 't1_%' AND b.id = substr(a.parent_id, 4))
 SELECT *, concat_ws(chr(10), 'Post: ' || post_title, 'Parent: ' || substr(parent_body, 1, 8000)) AS context_text FROM looked""",
-    "semi_teacher": f"WITH {_ITEMS}, {_ENRICHED} SELECT id, score FROM items WHERE kind = 'comment' AND id IN (SELECT id FROM enriched WHERE kind = 'comment' AND len(tags) > 0)",
-    "anti_holdout": f"WITH {_ITEMS}, {_ENRICHED} SELECT id, score FROM items WHERE kind = 'comment' AND id NOT IN (SELECT id FROM enriched WHERE kind = 'comment')",
+    "semi_teacher": f"WITH {_ITEMS}, {_ENRICHED} SELECT kind, id, score FROM items WHERE (kind, id) IN (SELECT (kind, id) FROM enriched WHERE kind IS NOT NULL AND len(tags) > 0)",
+    "anti_holdout": f"WITH {_ITEMS}, {_ENRICHED} SELECT kind, id, score FROM items WHERE (kind, id) NOT IN (SELECT (kind, id) FROM enriched WHERE kind IS NOT NULL)",
     "date_range": f"WITH {_ITEMS} SELECT kind, id, {_DAY} AS day FROM items WHERE {_DAY} >= DATE '2024-01-15' AND {_DAY} < DATE '2024-02-01'",
     "text_clean": r"""SELECT doc_id, CASE WHEN t NOT IN ('', '[deleted]', '[removed]', '[deleted by user]') THEN text END AS text, CASE WHEN author NOT IN ('', '[deleted]', '[removed]') THEN author END AS author
 FROM (SELECT *, regexp_replace(regexp_replace(text, '^[\s\p{Z}\x0b]+', ''), '[\s\p{Z}\x0b]+$', '') AS t FROM documents)""",
@@ -174,7 +175,7 @@ FROM (SELECT *, CAST(len(string_split_regex(trim(text, ' '), '[ \t\n\f\r]+')) AS
   regexp_replace(regexp_replace(lower(source), '[^a-z0-9.-]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM documents WHERE text IS NOT NULL""",
     "polarity_labels": f"""WITH {_ENRICHED} SELECT kind, id, CASE WHEN vader_compound IS NULL THEN NULL WHEN 1 - abs(vader_compound) >= 0.8 THEN 'neu' WHEN vader_compound >= 0.3 THEN 'pos' WHEN vader_compound <= -0.2 THEN 'neg' ELSE 'neu' END AS label FROM enriched""",
     "md5_per_year": f"""WITH {_ITEMS} SELECT kind, id, era FROM (SELECT *, row_number() OVER (PARTITION BY kind, era ORDER BY md5(id), id) AS n FROM (SELECT kind, id, strftime(make_timestamp(created_utc * 1000000), '%Y') AS era FROM items)) WHERE n <= 400""",
-    "md5_top_n": f"WITH {_ITEMS} SELECT kind, id FROM items WHERE kind = 'comment' ORDER BY md5(id), id LIMIT 500",
+    "md5_top_n": f"WITH {_ITEMS} SELECT kind, id FROM items ORDER BY md5(id), id, kind LIMIT 500",
     "md5_parts": f"WITH {_ITEMS} SELECT kind, id, CAST(md5_number(id) % 5 AS INTEGER) AS part FROM items",
     "exact_within_one": f"WITH {_RATED} SELECT count(*) AS n, round(avg((gold = scored)::INTEGER), 6) AS exact, round(avg((abs(gold - scored) <= 1)::INTEGER), 6) AS within_one FROM rated WHERE gold IS NOT NULL AND scored IS NOT NULL",
     "confusion": f"WITH {_RATED}, levels(v) AS (VALUES (-2), (-1), (0), (1), (2)) SELECT g.v AS gold, s.v AS scored, count(r.id) AS n FROM levels g JOIN levels s ON TRUE LEFT JOIN rated r ON r.gold = g.v AND r.scored = s.v GROUP BY ALL",
@@ -196,7 +197,7 @@ SELECT kind, id, CASE WHEN len(missing) > 0 THEN 'missing: ' || array_to_string(
 ranked AS (SELECT *, row_number() OVER (ORDER BY size DESC, kind, gold) AS place, count(*) OVER () AS groups FROM sizes),
 want AS (SELECT kind, gold, least(450 // groups + CASE WHEN place <= 450 - (450 // groups) * groups THEN 1 ELSE 0 END, greatest(1, size // 2)) AS want FROM ranked)
 SELECT k.kind, k.id, k.gold, k.sure, CASE WHEN row_number() OVER (PARTITION BY k.kind, k.gold ORDER BY sure DESC, md5('1:' || id), id) <= want THEN 'exemplar' ELSE 'holdout' END AS split FROM kept k JOIN want w ON w.kind = k.kind AND w.gold = k.gold""",
-    "exemplars": f"WITH {_RATED} SELECT id, gold FROM (SELECT id, gold, row_number() OVER (PARTITION BY gold ORDER BY id) AS n FROM rated WHERE gold IS NOT NULL AND kind = 'comment') WHERE n <= 4",
+    "exemplars": f"WITH {_RATED} SELECT kind, id, gold FROM (SELECT kind, id, gold, row_number() OVER (PARTITION BY gold ORDER BY id, kind) AS n FROM rated WHERE gold IS NOT NULL) WHERE n <= 4",
     "token_docfreq": f"WITH {_DOCS} SELECT token, n, n_pos, n_neg FROM freq",
     "token_association": f"WITH {_DOCS} SELECT token, n, round(association, 6) AS association FROM assoc WHERE n >= 50",
     "top_terms": f"""WITH {_DOCS} SELECT token, round(greatest(-3.5, least(3.5, association * 4.0)), 2) AS valence, abs(association) * ln(n) AS weight FROM assoc WHERE n >= 20 AND abs(association) >= 0.02 ORDER BY weight DESC, token LIMIT 400""",
@@ -223,8 +224,8 @@ SELECT file_key, line_no, CAST(trunc({_number('$.created_utc')}) AS BIGINT) AS c
   CASE WHEN json_type(j, '$.edited') = 'BOOLEAN' THEN CAST(json_extract(j, '$.edited') AS BOOLEAN) WHEN {_JSON_NUMBER.format('$.edited')} THEN CAST(json_extract(j, '$.edited') AS DOUBLE) > 0 ELSE FALSE END AS edited,
   CAST(trunc({_number('$._meta.retrieved_2nd_on')}) AS BIGINT) AS stamp, json_type(j, '$._meta.retrieved_2nd_on') IS NOT NULL AS is_stamped,
   {_settled(f"{_number('$._meta.retrieved_2nd_on')} IS NOT NULL")} AS settled, {_settled("json_type(j, '$._meta.retrieved_2nd_on') IS NOT NULL")} AS settled_by_key FROM docs""",
-    "stream_merge": """SELECT id, score, created_utc, retrieved_2nd_on, batch_key, line_no, n_copies FROM (
-  SELECT *, count(*) OVER (PARTITION BY id) AS n_copies, row_number() OVER (PARTITION BY id ORDER BY (retrieved_2nd_on IS NOT NULL) DESC, retrieved_2nd_on DESC NULLS LAST, created_utc DESC NULLS LAST, ingested_at, batch_key DESC, line_no DESC) AS rn FROM posts WHERE id IS NOT NULL) WHERE rn = 1""",
+    "stream_merge": " UNION ALL ".join(f"""SELECT '{kind}' AS kind, id, score, created_utc, retrieved_2nd_on, batch_key, line_no, n_copies FROM (
+  SELECT *, count(*) OVER (PARTITION BY id) AS n_copies, row_number() OVER (PARTITION BY id ORDER BY (retrieved_2nd_on IS NOT NULL) DESC, retrieved_2nd_on DESC NULLS LAST, created_utc DESC NULLS LAST, ingested_at, batch_key DESC, line_no DESC) AS rn FROM {name} WHERE id IS NOT NULL) WHERE rn = 1""" for name, kind in (("posts", "post"), ("comments", "comment"))),
 }
 
 
@@ -281,10 +282,10 @@ SQL |= {
 ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY v NULLS FIRST, level NULLS FIRST) AS first_n, row_number() OVER (PARTITION BY doc_id ORDER BY v DESC NULLS LAST, level DESC NULLS LAST) AS last_n FROM levels),
 rated AS (SELECT g.level AS gold, s.level AS scored FROM ranked g JOIN ranked s ON s.doc_id = g.doc_id WHERE g.first_n = 1 AND s.last_n = 1)
 SELECT count(*) AS n, round(avg((gold = scored)::INTEGER), 6) AS exact, round(avg((abs(gold - scored) <= 1)::INTEGER), 6) AS within_one FROM rated WHERE gold IS NOT NULL AND scored IS NOT NULL""",
-    "teacher_slices": f"""WITH {_ITEMS}, {_ENRICHED}, free AS (SELECT id, created_utc, {_DAY} AS day FROM items WHERE kind = 'comment' AND created_utc IS NOT NULL AND id NOT IN (SELECT id FROM enriched WHERE kind = 'comment' AND len(tags) > 1))
-SELECT id, created_utc, 'per_year' AS slice FROM (SELECT *, row_number() OVER (PARTITION BY year(day) ORDER BY md5(id), id) AS n FROM free) WHERE n <= 400
-UNION ALL SELECT id, created_utc, 'spike' FROM (SELECT *, row_number() OVER (ORDER BY md5(id), id) AS n FROM free WHERE day >= DATE '2024-01-15' AND day < DATE '2024-02-01') WHERE n <= 200
-UNION ALL SELECT id, created_utc, 'calm' FROM (SELECT *, row_number() OVER (ORDER BY md5(id), id) AS n FROM free WHERE day >= DATE '2023-05-01' AND day < DATE '2023-07-01') WHERE n <= 100""",
+    "teacher_slices": f"""WITH {_ITEMS}, {_ENRICHED}, free AS (SELECT kind, id, created_utc, {_DAY} AS day FROM items WHERE created_utc IS NOT NULL AND (kind, id) NOT IN (SELECT (kind, id) FROM enriched WHERE kind IS NOT NULL AND len(tags) > 1))
+SELECT kind, id, created_utc, 'per_year' AS slice FROM (SELECT *, row_number() OVER (PARTITION BY year(day) ORDER BY md5(id), id, kind) AS n FROM free) WHERE n <= 400
+UNION ALL SELECT kind, id, created_utc, 'spike' FROM (SELECT *, row_number() OVER (ORDER BY md5(id), id, kind) AS n FROM free WHERE day >= DATE '2024-01-15' AND day < DATE '2024-02-01') WHERE n <= 200
+UNION ALL SELECT kind, id, created_utc, 'calm' FROM (SELECT *, row_number() OVER (ORDER BY md5(id), id, kind) AS n FROM free WHERE day >= DATE '2023-05-01' AND day < DATE '2023-07-01') WHERE n <= 100""",
     "range_presets": f"WITH {_SERIES}, s AS (SELECT *, max(date) OVER (PARTITION BY subreddit) AS last FROM series) "
     + " UNION ALL ".join(f"SELECT subreddit, '{n}' AS preset, count(*) AS days, CAST(sum(num_posts + num_comments) AS BIGINT) AS items FROM s WHERE date >= {first} GROUP BY subreddit" for n, first in _PRESETS.items()),
     "measured_change": f"""WITH {_SERIES}, a AS (SELECT subreddit, arg_min(num_comments, (abs(date_diff('day', DATE '2023-01-15', date)) * 2 + (date > DATE '2023-01-15')::INTEGER)) AS v FROM series GROUP BY subreddit),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from larkspur.plans import forum, forum_sql, general
+from larkspur.plans import forum, forum_sql, general, layers
 
-MODULES = (general, forum)
+MODULES = (general, forum, layers)
 
 
 def queries() -> dict:
@@ -12,4 +12,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
-    return general.SQL | forum_sql.SQL
+    return general.SQL | forum_sql.SQL | layers.SQL

@@ -6,6 +6,9 @@ again is harmless and parts of an earlier, longer run do not survive. Receipts a
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,11 +97,30 @@ def collect_tail(spark: SparkSession, root: str, at: int, hours: int, subreddits
     return origin
 
 
-def backfill_year(spark: SparkSession, root: str, receipts_path: str, year: int, now: int, subreddits: list[str], source: str = "paged_archive", **options: str) -> list[dict]:
-    """All settled months of a year, up to 48 hours ago; a month is one job, so a broken run goes on at the next one."""
-    out = []
-    for subreddit in subreddits:
-        for window in times.settled_months(year, times.backfill_cutoff(now)):
-            for kind in ("posts", "comments"):
-                out.append(collect_month(spark, root, receipts_path, window, subreddit, kind, now, source, **options))
-    return out
+def retried(step: Callable[[], dict], attempts: int = 5, first_wait: float = 30.0, sleep: Callable[[float], None] = time.sleep) -> dict:
+    """Run a step again after a failure, with waits that double; a month that came back empty is no such failure."""
+    for attempt in range(attempts):
+        try:
+            return step()
+        except EmptyMonth:
+            raise
+        except Exception:
+            if attempt + 1 == attempts:
+                raise
+            sleep(first_wait * 2**attempt)
+    raise ValueError("no attempts")
+
+
+def allowed(subreddits: list[str], allow: list[str] | None, block: list[str] = ()) -> list[str]:
+    """Venues to collect, lower case, each once: those of the allow-list if there is one, none of the block-list."""
+    names = dict.fromkeys(s.lower() for s in subreddits)
+    allow, block = {s.lower() for s in allow} if allow is not None else set(names), {s.lower() for s in block}
+    return [n for n in names if n in allow and n not in block]
+
+
+def backfill_year(spark: SparkSession, root: str, receipts_path: str, year: int, now: int, subreddits: list[str], source: str = "paged_archive", at_once: int = 4, **options: str) -> list[dict]:
+    """All settled months of a year, up to 48 hours ago; a month is one retried job, ``at_once`` of them side by side."""
+    due = [(s, w, k) for s in subreddits for w in times.settled_months(year, times.backfill_cutoff(now)) for k in ("posts", "comments")]
+    run = lambda d: retried(lambda: collect_month(spark, root, receipts_path, d[1], d[0], d[2], now, source, **options))
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(run, due))

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import json
-from pathlib import Path
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,10 +56,13 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def export_review(labels: DataFrame, path: str) -> None:
-    """Labels as CSV for review: tags joined by ``;``, the map as JSON, least sure first."""
+    """Labels as CSV for review: tags joined by ``;``, the map as JSON, least sure first.
+
+    The files are parts of one order: those of the first part come before those of the next. Small tables give one part.
+    """
     sure = F.when(F.col("confidence") == "low", 0).when(F.col("confidence") == "medium", 1).otherwise(2)
     flat = labels.select("doc_id", F.array_join("tags", ";").alias("tags"), "overall_sentiment", "no_sentiment", F.to_json("tag_sentiment").alias("tag_sentiment"), "confidence", "rationale", sure.alias("_sure"))
-    flat.orderBy("_sure", "doc_id").drop("_sure").coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    flat.orderBy("_sure", "doc_id").drop("_sure").write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def import_review(spark: SparkSession, path: str) -> DataFrame:
@@ -81,17 +83,21 @@ def write_labels(labels: DataFrame, path: str, force: bool = False) -> None:
 
 
 class Manifest:
-    """Partition label to fingerprint, saved after every partition, so that a broken run goes on where it stopped."""
+    """Partition label to fingerprint: a table under ``path`` to which every finished wave is appended; later waves win.
+
+    A broken run goes on after the last wave that was appended. ``path`` may lie in any file system that Spark writes to.
+    """
+
+    SCHEMA = "label string, fingerprint string, wave long"
 
-    def __init__(self, path: str | Path):
-        self.path = Path(path)
-        self.held: dict[str, str] = json.loads(self.path.read_text()) if self.path.exists() else {}
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
 
-    def commit(self, label: str, fingerprint: str) -> None:
-        self.held[label] = fingerprint
-        temporary = self.path.with_suffix(".new")
-        temporary.write_text(json.dumps(self.held, sort_keys=True))
-        temporary.replace(self.path)
+    def commit(self, built: DataFrame) -> None:
+        """Add the labels and fingerprints of a wave."""
+        built.select("label", "fingerprint", F.lit(time.time_ns()).alias("wave")).write.mode("append").parquet(self.path)
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.held.items()), "label string, fingerprint string")
+    def table(self) -> DataFrame:
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], self.SCHEMA).drop("wave")
+        return self.spark.read.schema(self.SCHEMA).parquet(self.path).groupBy("label").agg(F.max_by("fingerprint", "wave").alias("fingerprint"))

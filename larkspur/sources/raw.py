@@ -5,21 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.functions import clean, times
+from larkspur.functions import clean
 from larkspur.operators.collection import parsed_keys
 
 
 def read_lines(spark: SparkSession, *paths: str, root: str = "") -> DataFrame:
-    """``file_key, line_no, record_json`` of all parts, blank lines left out; ``line_no`` counts from 0 within a file.
+    """``file_key, line_no, record_json`` of all parts, blank lines left out; ``line_no`` grows along a file.
 
-    A gz part is one task anyway; its text is split there, so order is exact and nothing is shuffled. ``root`` is cut from
-    the front of the file's path to give the key.
+    Parts must be compressed as a whole (gz): such a part is read by one task from front to back, so the running number of
+    its rows keeps their order and nothing is shuffled or held. ``root`` is cut from the front of the file's path to give
+    the key.
     """
-    whole = spark.read.text(list(paths), wholetext=True, recursiveFileLookup=True)
+    lines = spark.read.option("recursiveFileLookup", True).text(list(paths))
     file = F.regexp_replace(F.col("_metadata.file_path"), r"^file:/*(?=/)", "")
-    lines = whole.select(file.alias("file_key"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "record_json"))
+    numbered = lines.select(file.alias("file_key"), F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("record_json"))
     key = F.when(F.startswith("file_key", F.lit(root)), F.expr(f"substring(file_key, {len(root) + 1})")).otherwise(F.col("file_key"))
-    return lines.filter(F.trim("record_json") != "").withColumn("file_key", F.ltrim(key, F.lit("/")))
+    return numbered.filter(F.trim("record_json") != "").withColumn("file_key", F.ltrim(key, F.lit("/")))
 
 
 def derive(lines: DataFrame, exempt_before: int = clean.EXEMPT_BEFORE, strict: bool = True) -> DataFrame:
@@ -38,7 +39,13 @@ def derive(lines: DataFrame, exempt_before: int = clean.EXEMPT_BEFORE, strict: b
     return first_settled(projected.filter(F.nullif("id", F.lit("")).isNotNull()), ["subreddit", "month_label", "kind", "id"], F.col("_stamped"), ["file_key", "line_no"], [*fields, "subreddit", "month_label"])
 
 
-def write_lines(rows: DataFrame, path: str) -> None:
-    """Append lines as gz parts under ``subreddit=/month_label=``; the month is that of each row's own time."""
-    placed = rows.withColumn("month_label", F.coalesce(times.month_of(F.col("created_utc")), F.lit("none")))
-    placed.select("subreddit", "month_label", F.col("record_json").alias("value")).write.partitionBy("subreddit", "month_label").mode("append").option("compression", "gzip").text(path)
+def write_parts(lines: DataFrame, path: str) -> None:
+    """``file_key, line_no, record_json`` as gz parts in a folder per ``file_key``, lines in their order."""
+    placed = lines.filter(F.trim("record_json") != "").repartition("file_key").sortWithinPartitions("file_key", "line_no")
+    placed.select("file_key", F.col("record_json").alias("value")).write.partitionBy("file_key").option("compression", "gzip").text(path)
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_parts`` wrote, ``line_no`` counted anew."""
+    folder = F.regexp_extract("file_key", "file_key=([^/]*)/", 1)
+    return read_lines(spark, path, root=path).withColumn("file_key", F.url_decode(F.url_decode(folder)))

@@ -8,7 +8,6 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.functions import times
 from larkspur.operators import gauge, series
 
 
@@ -62,8 +61,3 @@ def serve(folder: str | Path, route: str, symbols: list[str], now: int) -> tuple
         made = document.get("generated_at")
         return 200, json.dumps({"generated_at": made, "partial_after": document.get("partial_after"), "prices_updated_at": (price or {}).get("updated_at"), "stale": made is None or now - made > 3 * 3600})
     return 404, json.dumps({"error": "not found"})
-
-
-def trailing_label(at: int, hours: int) -> str:
-    window = times.trailing_window(at, hours)
-    return f"{window.after}..{window.before}"

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators.collection import enrich_fingerprint, fingerprints, stale
+from larkspur.scratch import materialize
 from larkspur.sources.derived import Manifest
 
 KEYS = ["subreddit", "month_label", "kind"]
@@ -17,32 +19,33 @@ def labelled(partitions: DataFrame) -> DataFrame:
     return partitions.withColumn("label", F.concat_ws("/", *KEYS))
 
 
-def rebuild(objects: DataFrame, manifest: Manifest, build: Callable[[DataFrame], None], version: str | None = None, full: bool = False, wave: int = 500) -> list[str]:
-    """Call ``build`` with the stale partitions' objects, ``wave`` partitions at a time, and commit each wave's fingerprints.
+def rebuild(objects: DataFrame, manifest: Manifest, build: Callable[[DataFrame], None], version: str | None = None, full: bool = False, wave: int = 500) -> DataFrame:
+    """Call ``build`` with the stale partitions (``subreddit, month_label, kind``), about ``wave`` at a time, and commit each wave.
 
-    ``version`` is mixed into the fingerprints, so another configuration makes everything stale. Only partition labels
-    come to the driver. Returns the labels rebuilt.
+    ``version`` is mixed into the fingerprints, so another configuration makes everything stale. Waves are dealt by hash and
+    stay tables; only their number comes to the driver. Returns the labels and fingerprints rebuilt.
     """
-    spark = objects.sparkSession
     parts = labelled(fingerprints(objects))
     if version is not None:
         parts = parts.withColumn("fingerprint", enrich_fingerprint(F.col("fingerprint"), F.lit(version)))
-    waiting = stale(parts, manifest.table(spark), ["label"], full).select("label", "fingerprint", *KEYS).orderBy("label").collect()
-    for at in range(0, len(waiting), wave):
-        rows = waiting[at : at + wave]
-        build(spark.createDataFrame([tuple(r[k] for k in KEYS) for r in rows], ", ".join(f"{k} string" for k in KEYS)))
-        for r in rows:
-            manifest.commit(r["label"], r["fingerprint"])
-    return [r["label"] for r in waiting]
+    waiting = materialize(stale(parts, manifest.table(), ["label"], full).select("label", "fingerprint", *KEYS), "stale")
+    waves = -(-waiting.count() // wave)
+    dealt = waiting.withColumn("_wave", F.pmod(F.xxhash64("label"), F.lit(max(1, waves))))
+    for k in range(waves):
+        part = dealt.filter(F.col("_wave") == k)
+        build(part.select(*KEYS))
+        manifest.commit(part)
+    return waiting.select("label", "fingerprint")
 
 
-def reconcile(receipts: DataFrame, at: int, collect: Callable[[str, str, str], dict], tail_months: int = 2) -> list[dict]:
-    """Collect every open partition again and return the new receipts; settled months stay closed."""
+def reconcile(receipts: DataFrame, at: int, collect: Callable[[str, str, str], dict], tail_months: int = 2, at_once: int = 4) -> list[dict]:
+    """Collect every open partition again and return the new receipts; settled months stay closed.
+
+    ``at_once`` jobs run side by side; their tasks share the cluster.
+    """
     from larkspur.functions.times import settled_month
     from larkspur.operators.collection import open_partitions
 
-    out = []
-    for r in open_partitions(receipts, at, tail_months).orderBy(*KEYS).toLocalIterator():
-        if settled_month(r["month_label"], at + 1):
-            out.append(collect(r["subreddit"], r["month_label"], r["kind"]))
-    return out
+    due = [tuple(r[k] for k in KEYS) for r in open_partitions(receipts, at, tail_months).orderBy(*KEYS).toLocalIterator() if settled_month(r["month_label"], at + 1)]
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda k: collect(*k), due))

@@ -325,15 +325,16 @@ def test_fingerprints_ignore_order_and_see_changes(spark):
 
 
 def test_incremental_rebuild_touches_what_changed(spark, tmp_path):
-    manifest, built = Manifest(tmp_path / "m.json"), []
+    manifest, built = Manifest(spark, str(tmp_path / "m")), []
     build = lambda part: built.append(sorted(r["month_label"] for r in part.collect()))
-    assert len(incremental.rebuild(_objects(spark), manifest, build)) == 2
-    assert incremental.rebuild(_objects(spark), Manifest(tmp_path / "m.json"), build) == []
-    assert incremental.rebuild(_objects(spark, "new"), manifest, build) == ["s/2024-01/posts"]
-    assert len(incremental.rebuild(_objects(spark, "new"), manifest, build, version="v2")) == 2
-    assert len(incremental.rebuild(_objects(spark, "new"), manifest, build, version="v2", full=True, wave=1)) == 2
+    done = lambda *a, **k: rows(incremental.rebuild(*a, build, **k), "label")
+    assert len(done(_objects(spark), manifest)) == 2
+    assert done(_objects(spark), Manifest(spark, str(tmp_path / "m"))) == []
+    assert done(_objects(spark, "new"), manifest) == [("s/2024-01/posts",)] and built[-1] == ["2024-01"]
+    assert len(done(_objects(spark, "new"), manifest, version="v2")) == 2
+    assert len(done(_objects(spark, "new"), manifest, version="v2", full=True, wave=1)) == 2
     parts = incremental.labelled(collection.fingerprints(_objects(spark, "new")))
-    assert not collection.healthy(parts, manifest.table(spark), ["label"])
+    assert not collection.healthy(parts, manifest.table(), ["label"])
 
 
 def test_open_partitions_and_final_receipts(spark):

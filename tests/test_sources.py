@@ -125,7 +125,7 @@ def test_raw_lines_keep_order_and_derive_prefers_stamped(spark, tmp_path):
     with gzip.open(part / "posts-part-0000.jsonl.gz", "wt") as f:
         f.write("\n".join(lines) + "\n")
     read = raw.read_lines(spark, str(tmp_path / "raw"), root=str(tmp_path))
-    assert rows(read, "file_key", "line_no") == [("raw/s/2024-01/posts-part-0000.jsonl.gz", k) for k in (0, 2, 3, 4, 5)]
+    assert rows(read, "file_key", "line_no") == [("raw/s/2024-01/posts-part-0000.jsonl.gz", k) for k in (0, 2, 3, 4, 5)]  # one task: numbers are the lines'
     got = {r["id"]: r for r in raw.derive(read).collect()}
     assert set(got) == {"a", "b"} and got["a"]["author"] == "w" and got["a"]["score"] is None and got["a"]["retrieved_2nd_on"] is None
     assert (got["b"]["author"], got["b"]["score"], got["b"]["edited"], got["b"]["removal_category"], got["b"]["body"], got["b"]["kind"]) == (None, 5, True, "spam", None, "post")
@@ -165,9 +165,47 @@ def test_review_round_trip(spark, tmp_path):
 
 
 def test_manifest_goes_on_where_it_stopped(spark, tmp_path):
-    m = derived.Manifest(tmp_path / "m.json")
-    m.commit("a", "1")
-    assert derived.Manifest(tmp_path / "m.json").held == {"a": "1"} and rows(m.table(spark)) == [("a", "1")]
+    m = derived.Manifest(spark, str(tmp_path / "m"))
+    assert rows(m.table()) == []
+    for wave in ([("a", "1"), ("b", "1")], [("a", "2")]):
+        m.commit(spark.createDataFrame(wave, "label string, fingerprint string"))
+    assert rows(derived.Manifest(spark, str(tmp_path / "m")).table()) == [("a", "2"), ("b", "1")]
+
+
+def test_steps_are_retried_but_not_for_an_empty_month():
+    waits, tries = [], iter([OSError("x"), ValueError("y"), {"rows": 1}])
+
+    def step():
+        r = next(tries)
+        if isinstance(r, Exception):
+            raise r
+        return r
+
+    assert collect.retried(step, sleep=waits.append) == {"rows": 1} and waits == [30.0, 60.0]
+
+    def empty():
+        waits.append("again")
+        raise collect.EmptyMonth("m")
+
+    with pytest.raises(collect.EmptyMonth):
+        collect.retried(empty, sleep=waits.append)
+    assert waits[2:] == ["again"]
+
+
+def test_allowed_venues():
+    assert collect.allowed(["B", "a", "b"], None) == ["b", "a"] and collect.allowed(["B", "a"], ["A", "c"], ["c"]) == ["a"] and collect.allowed(["x"], ["x"], ["X"]) == []
+
+
+def test_lexicon_files(tmp_path):
+    from larkspur.functions import sentiment
+
+    own = sentiment.Lexicon("v1", {"good": 1.9}, {"moon": 2.0}, ("bad",), 0.1, -0.1, 0.9)
+    sentiment.publish_lexicon(own, tmp_path / "l.json")
+    assert sentiment.load_lexicon(tmp_path / "l.json") == own
+    with pytest.raises(FileExistsError):
+        sentiment.publish_lexicon(own, tmp_path / "l.json")
+    (tmp_path / "w.txt").write_text("Good\t1.9\t0.9\t[2]\nnone\n\nbad\t-2.5\n")
+    assert sentiment.word_list(tmp_path / "w.txt") == {"good": 1.9, "bad": -2.5}
 
 
 def _payload(stamps, closes):

@@ -71,12 +71,12 @@ def test_words_of_the_whole_text_are_counted(spark):
 
 
 def test_threshold_grids_are_the_references():
-    from larkspur.plans import forum
+    from larkspur.operators import fit
 
     band = [round(x * 0.02, 2) for x in range(1, 21)]
-    assert (forum.GRID_POS, [-x for x in forum.GRID_NEG]) == (band, band)
-    assert forum.GRID_NEU == [2.0, *(round(0.80 + x * 0.02, 2) for x in range(11))]
-    assert forum.DISTILL_BAND == [round(x * 0.03, 2) for x in range(1, 11)] and forum.SCALES == [3.0, 4.5, 6.0, 8.0]
+    assert (fit.GRID_POS, [-x for x in fit.GRID_NEG]) == (band, band)
+    assert fit.GRID_NEU == [2.0, *(round(0.80 + x * 0.02, 2) for x in range(11))]
+    assert fit.DISTILL_BAND == [round(x * 0.03, 2) for x in range(1, 11)] and fit.SCALES == [3.0, 4.5, 6.0, 8.0]
 
 
 def test_full_grid_against_brute_force(spark):
@@ -85,12 +85,11 @@ def test_full_grid_against_brute_force(spark):
     import numpy as np
 
     from larkspur.operators import fit
-    from larkspur.plans import forum
 
     rng = random.Random(5)
     data = [(round(rng.uniform(-0.5, 0.5), 3), round(rng.uniform(0.7, 1.0), 3), rng.randint(-2, 2)) for _ in range(300)]
     c, u, y = np.array([r[0] for r in data]), np.array([r[1] for r in data]), np.sign([r[2] for r in data])
-    combos = fit.grid(forum.GRID_POS, forum.GRID_NEG, forum.GRID_NEU)
+    combos = fit.grid(fit.GRID_POS, fit.GRID_NEG, fit.GRID_NEU)
     hits = [int((np.where(u >= m, 0, np.where(c >= p, 1, np.where(c <= n, -1, 0))) == y).sum()) for _, p, n, m in combos]
     assert len(combos) == 4800
     got = fit.best_thresholds(spark.createDataFrame(data, "compound double, neu double, gold int"), combos).first()
