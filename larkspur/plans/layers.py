@@ -32,15 +32,10 @@ def derived_layer(spark: SparkSession, d: str) -> DataFrame:
     derived.write_partitions(items, path)
     kinds = [derived.read(spark, path).filter(F.col("kind") == k) for k in ("post", "comment")]
     both = kinds[0].unionByName(kinds[1])
+    both = both.join(derived.partitions(derived.read(spark, path), ["kind", "subreddit", "month_label"]), ["kind", "subreddit", "month_label"])
     return both.groupBy("kind", "subreddit", "month_label").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.max("created_utc").alias("last_utc"), F.sum(F.col("score").cast("long")).alias("sum_score"))
 
 
-def derived_partitions(spark: SparkSession, d: str) -> DataFrame:
-    path = fresh_path(spark, "derived")
-    derived.write_partitions(forum._items(spark, d, "subreddit", "month_label", "created_utc").filter("subreddit IS NOT NULL AND month_label IS NOT NULL"), path)
-    return derived.partitions(derived.read(spark, path), ["subreddit", "month_label", "kind"])
-
-
 def series_layer(spark: SparkSession, d: str) -> DataFrame:
     """A stored series' receipt as it was written beside it."""
     path = fresh_path(spark, "series")
@@ -147,19 +142,18 @@ def allocation_kept(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        raw_parts, derived_layer, derived_partitions, series_layer, series_days, tags_ranked, tag_activity, tag_counts, compound_misses, chart_rows, chart_checks, review_merge, page_receipts,
+        raw_parts, derived_layer, series_layer, series_days, tags_ranked, tag_activity, tag_counts, compound_misses, chart_rows, chart_checks, review_merge, page_receipts,
         incremental_build, allocation_kept,
     )
 }
 
 _TAG_SUMMARY = forum_sql.SQL["tag_summary"]
-_CLOSES = f"WITH {forum_sql._SERIES}, closes AS (SELECT subreddit AS symbol, date, round(num_comments * 1.25, 2) AS close FROM series WHERE num_comments > 0)"
+_CLOSES = f"WITH {forum_sql._SERIES}, closes AS (SELECT subreddit AS symbol, date, round(num_comments * 1.25::DOUBLE, 2) AS close FROM series WHERE num_comments > 0)"
 
 SQL = {
     "raw_parts": "SELECT file_key, row_number() OVER (PARTITION BY file_key ORDER BY line_no) - 1 AS place, md5(record_json) AS digest FROM raw_records WHERE file_key IS NOT NULL AND trim(record_json, ' ') <> ''",
     "derived_layer": f"""WITH {forum_sql._ITEMS} SELECT kind, subreddit, month_label, count(*) AS n, min(id) AS first_id, max(created_utc) AS last_utc, CAST(sum(score) AS BIGINT) AS sum_score
 FROM items WHERE subreddit IS NOT NULL AND month_label IS NOT NULL GROUP BY ALL""",
-    "derived_partitions": f"WITH {forum_sql._ITEMS} SELECT DISTINCT subreddit, month_label, kind FROM items WHERE subreddit IS NOT NULL AND month_label IS NOT NULL",
     "series_layer": forum_sql.SQL["series_receipt"],
     "series_days": f"""WITH {forum_sql._SERIES} SELECT subreddit, CAST(row_number() OVER (PARTITION BY subreddit ORDER BY date) - 1 AS INTEGER) AS place, strftime(date, '%Y-%m-%d') AS day, num_posts, num_comments, num_unique_authors AS num_authors,
   round(mean_compound, 6) AS mean_compound, date > max(date) OVER (PARTITION BY subreddit) - 2 AS partial, 'tags-1' AS tags_version FROM series""",
