@@ -250,16 +250,18 @@ def _bred(loose: DataFrame, p: Breeding, label: str) -> DataFrame:
         F.lit(None).cast("array<array<int>>").alias("packings"), F.lit(0).alias("born"),
     )
     fields = T.StructType([f for f in start.schema.fields if f.name != "born"] + [T.StructField("n_bins", T.IntegerType()), T.StructField("fitness", T.DoubleType()), T.StructField("born", T.IntegerType())])
-    people = start.repartition("place", "cell", "island").mapInPandas(_breed(0, p), fields)
+    # A number of tasks is given since cells are few bytes and long to breed: adaptive coalescing would put them all in one.
+    tasks = max(int(loose.sparkSession.conf.get("spark.sql.shuffle.partitions")), loose.sparkSession.sparkContext.defaultParallelism)
+    people = start.repartition(tasks, "place", "cell", "island").mapInPandas(_breed(0, p), fields)
     for epoch in range(1, p.epochs):
         # An island's elites stay, and go on to the next island of the cell.
         homes = F.explode(F.array_distinct(F.array(F.col("island"), F.pmod(F.col("island") + 1, F.lit(p.islands))))).alias("_home")
         sent = people.select("place", "capacity", "cell", "sizes", "packings", "born", "island", homes).withColumn("_rank", F.when(F.col("island") == F.col("_home"), 0).otherwise(1))
-        met = sent.groupBy("place", "cell", F.col("_home").alias("island")).agg(
+        met = sent.repartition(tasks, "place", "cell", "_home").groupBy("place", "cell", "_home").agg(
             F.first("capacity").alias("capacity"), F.first("sizes").alias("sizes"), F.max(F.when(F.col("_rank") == 0, F.col("born"))).alias("born"),
             F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "island", "packings"))), lambda x: x["packings"])).alias("packings"),
         )
-        people = met.select(*start.columns).mapInPandas(_breed(epoch, p), fields)
+        people = met.withColumnRenamed("_home", "island").select(*start.columns).mapInPandas(_breed(epoch, p), fields)
     best = people.groupBy("place", "cell").agg(F.max_by(F.col("packings")[0], F.struct(-F.col("n_bins"), "fitness", -F.col("island"))).alias("bins"), F.sum("born").alias("born"))
     zipped = F.explode(F.arrays_zip(F.col("items").alias("i"), F.col("bins").alias("n"))).alias("z")
     packed = held.join(best, ["place", "cell"]).select("container_name", "place", "capacity", "cell", "born", zipped)
