@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from larkspur.scratch import materialize
 
-LENGTH, ANCHOR = 150, 100
+LENGTH, ANCHOR = 150, 75
 SEGMENT = 1 << 20  # characters hashed at once
 MOST_SEGMENT = 1 << 16  # longer segments are cut, with an overlap of one span
 BLOCK_CHARS = 1 << 21
