@@ -26,18 +26,25 @@ class ConcurrentWrite(RuntimeError):
     """Another writer has published the version that this one was about to."""
 
 
-def fold(df: DataFrame, keys: list[str], order: list[Column], copies: Column, extra: list[str] | None = None) -> DataFrame:
+def fold(df: DataFrame, keys: list[str], order: list[Column | str], copies: Column, extra: list[str] | None = None, total_order: bool = False) -> DataFrame:
     """One row per key: the row greatest by ``order`` (NULL lowest) and ``n_copies``.
 
     An algebraic maximum, combined before the shuffle: a key with a third of all rows sends one row per map task. Rows in
-    which a key is NULL cannot be told apart from others and are dropped. Full ties are broken by a hash of the remaining
-    columns, so that they travel once and not in the ordering as well.
+    which a key is NULL cannot be told apart from others and are dropped. Columns named in ``order`` stand in the ordering
+    only and every other column behind it, so that each travels once. Full ties are broken by a hash of all columns, or left
+    out of account where ``total_order`` says that there are none.
     """
     extra = extra or []
     rest = [c for c in df.columns if c not in (*keys, *extra, "n_copies")]
-    plain = [c for c in rest if df.schema[c].dataType.typeName() not in ("map", "variant")]
-    tie = [F.xxhash64(*plain).alias("_tie")] if plain else []
-    best = F.max_by(F.struct(*rest), F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *tie))
+    loose = [c for c in rest if df.schema[c].dataType.typeName() in ("map", "variant")]  # these have no order
+    named = [o for o in order if isinstance(o, str)]
+    marks = [F.col(o) if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(order)]
+    if not total_order and len(loose) < len(rest):
+        marks.append(F.xxhash64(*[c for c in rest if c not in loose]).alias("_tie"))
+    if loose:
+        best = F.max_by(F.struct(*rest), F.struct(*[m.alias(f"_m{i}") for i, m in enumerate(marks)]))
+    else:
+        best = F.max(F.struct(*marks, *[c for c in rest if c not in named]))
     known = df
     for key in keys:
         known = known.filter(F.col(key).isNotNull())
@@ -49,15 +56,16 @@ def fold(df: DataFrame, keys: list[str], order: list[Column], copies: Column, ex
 class MessageStore:
     """One winner per key under ``path``; ``partition`` names the column whose first seen value places a key for good.
 
-    ``buckets`` is the number of parts of the index, fixed when the store is made; ``rows_per_file`` about what a task
-    writes of one partition.
+    ``order`` and ``total_order`` are those of ``fold``. ``buckets`` is the number of parts of the index, fixed when the
+    store is made; ``rows_per_file`` about what a task writes of one partition.
     """
 
     spark: SparkSession
     path: str
     keys: list[str]
-    order: list[Column]
+    order: list[Column | str]
     partition: str
+    total_order: bool = False
     buckets: int = 64
     rows_per_file: int = 1_000_000
     _manifest: dict = field(default_factory=dict)
@@ -127,7 +135,7 @@ class MessageStore:
         known, label = self._manifest["parts"], f"_version={self._manifest['version'] + 1}-{uuid.uuid4().hex[:8]}"  # no two writers share a folder
         batches = [*self._manifest["batches"], batch_id]
         own = F.coalesce(F.nullif(F.col(self.partition).cast("string"), F.lit("")), F.lit(NO_PARTITION))
-        incoming = fold(batch, self.keys, self.order, F.lit(1))
+        incoming = fold(batch, self.keys, self.order, F.lit(1), total_order=self.total_order)
         out, retired, indexed = f"{self.path}/data/{label}", [], dict(self._manifest["index"])
         if not known:
             incoming.withColumn("_part", own).hint("rebalance", F.col("_part")).write.mode("overwrite").partitionBy("_part").parquet(out)
@@ -173,7 +181,7 @@ class MessageStore:
         both = staged if old is None else old.select(*staged.columns).unionByName(staged)
         spread = self.spark.createDataFrame([(p, -(-n // self.rows_per_file)) for p, n in counts.items()], "_part string, _files long")
         both = both.join(F.broadcast(spread), "_part").withColumn("_sub", F.pmod(F.xxhash64(*self.keys), "_files")).drop("_files")
-        return fold(both.repartition("_part", "_sub"), self.keys, self.order, F.col("n_copies"), ["_part", "_sub"]).drop("_sub")
+        return fold(both.repartition("_part", "_sub"), self.keys, self.order, F.col("n_copies"), ["_part", "_sub"], self.total_order).drop("_sub")
 
     def _written(self, folder: str) -> list[str]:
         """Values of the partition folders of a table just written."""

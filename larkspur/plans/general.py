@@ -45,9 +45,9 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     return references.dangling_report(_references(spark, d))
 
 
-def _delivery_order() -> list[Column]:
+def _delivery_order() -> list[Column | str]:
     """A settled copy beats a provisional one; then the later stamp, the later creation time, the first seen."""
-    return [F.col("retrieved_2nd_on").isNotNull(), F.col("retrieved_2nd_on"), F.col("created_utc"), -F.unix_micros("ingested_at"), F.col("batch_key"), F.col("line_no")]
+    return [F.col("retrieved_2nd_on").isNotNull(), "retrieved_2nd_on", "created_utc", -F.unix_micros("ingested_at"), "batch_key", "line_no"]
 
 
 def _deliver(spark: SparkSession, d: str, incoming_days: int = 90) -> DataFrame:
@@ -56,7 +56,7 @@ def _deliver(spark: SparkSession, d: str, incoming_days: int = 90) -> DataFrame:
     for name, kind in (("posts", "post"), ("comments", "comment")):
         rows = table(spark, d, name)
         last = rows.agg(F.max("ingested_at")).collect()[0][0]
-        store = exactly_once.MessageStore(spark, fresh_path(spark, f"messages-{kind}"), ["id"], _delivery_order(), "month_label")
+        store = exactly_once.MessageStore(spark, fresh_path(spark, f"messages-{kind}"), ["id"], _delivery_order(), "month_label", total_order=True)
         cut = F.col("ingested_at") > F.lit(last) - F.make_dt_interval(F.lit(incoming_days))
         store.apply(rows.filter(~F.coalesce(cut, F.lit(False))), "history")
         store.apply(rows.filter(F.coalesce(cut, F.lit(False))), "incoming")

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from larkspur.operators.exactly_once import MessageStore
 
 
-def merge_stream(stream: DataFrame, path: str, keys: list[str], order: Callable[[], list[Column]], partition: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+def merge_stream(stream: DataFrame, path: str, keys: list[str], order: Callable[[], list[Column | str]], partition: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Start merging a stream of deliveries into the store at ``path``; ``once`` takes what is there and stops."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -24,5 +24,5 @@ def merge_stream(stream: DataFrame, path: str, keys: list[str], order: Callable[
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def merged(spark: SparkSession, path: str, keys: list[str], order: list[Column], partition: str) -> DataFrame:
+def merged(spark: SparkSession, path: str, keys: list[str], order: list[Column | str], partition: str) -> DataFrame:
     return MessageStore(spark, path, keys, order, partition).read()

@@ -106,6 +106,12 @@ def test_fold_breaks_full_ties_by_the_other_columns_whatever_the_order(spark):
     assert fold(data) == fold(data[::-1]) == fold(data[2:] + data[:2]) and fold(data)[0][1] == 4
 
 
+def test_fold_carries_columns_without_an_order_and_named_order_columns(spark):
+    df = spark.createDataFrame([("a", 1, {"k": 1}), ("a", 2, {"k": 2}), ("a", None, {"k": 3})], "id string, o int, m map<string,int>")
+    assert [tuple(r) for r in exactly_once.fold(df, ["id"], ["o"], F.lit(1)).collect()] == [("a", 2, {"k": 2}, 3)]
+    assert [tuple(r) for r in exactly_once.fold(df.drop("m"), ["id"], [-F.col("o"), "o"], F.lit(1), total_order=True).collect()] == [("a", 1, 3)]
+
+
 def test_of_two_writers_of_one_version_the_later_fails(spark):
     s = _store(spark)
     s.apply(spark.createDataFrame([("a", None, 1, "01", "x")], MESSAGES), "1")
