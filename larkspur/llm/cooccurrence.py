@@ -14,32 +14,32 @@ from pyspark.sql import functions as F
 from larkspur.scratch import materialize
 
 
-def basket_items(df: DataFrame, keys: list[str], items: str) -> DataFrame:
-    """``keys, _item``: each item of a basket, once for each row that has it.
+def basket_rows(df: DataFrame, keys: list[str], items: str) -> DataFrame:
+    """``keys, _items``: the distinct items that each row adds to its basket.
 
     Rows of one basket are united. Rows with a NULL key are no basket; NULL items, NULL and empty arrays add nothing.
     """
     known = df.filter(F.col(items).isNotNull())
     for key in keys:
         known = known.filter(F.col(key).isNotNull())
-    return known.select(*keys, F.explode(F.array_distinct(F.array_compact(items))).alias("_item"))
+    return known.select(*keys, F.array_distinct(F.array_compact(items)).alias("_items")).filter(F.size("_items") > 0)
 
 
-def large_baskets(each: DataFrame, keys: list[str], chunk: int) -> DataFrame:
-    """``keys, _c``: baskets of more than ``chunk`` rows and into how many chunks they go (stored)."""
-    sizes = each.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > chunk)
+def large_baskets(rows: DataFrame, keys: list[str], chunk: int) -> DataFrame:
+    """``keys, _c``: baskets of more than ``chunk`` items, repeats between rows counted, and into how many chunks they go (stored)."""
+    sizes = rows.groupBy(*keys).agg(F.sum(F.size("_items")).alias("_n")).filter(F.col("_n") > chunk)
     return materialize(sizes.select(*keys, F.ceil(F.col("_n") / chunk).cast("int").alias("_c")), "large-baskets")
 
 
-def chunk_products(each: DataFrame, keys: list[str], large: DataFrame) -> DataFrame:
+def chunk_products(rows: DataFrame, keys: list[str], large: DataFrame) -> DataFrame:
     """``left, right, weight, same, whole``: item arrays whose products make up the pairs of all baskets.
 
-    Small baskets (``whole``) and chunks with themselves are ``same``. A chunk of a large basket is sent to all pairs of chunks that it
-    is part of, a row per item, and gathered there; the chunks of one basket share no item.
+    Small baskets (``whole``) and chunks with themselves are ``same``. A chunk of a large basket is sent to all pairs of
+    chunks that it is part of, a row per item, and gathered there; the chunks of one basket share no item.
     """
-    small = each.join(large.select(*keys), keys, "left_anti").groupBy(*keys).agg(F.array_sort(F.collect_set("_item")).alias("left"))
+    small = rows.join(large.select(*keys), keys, "left_anti").select(*keys, F.explode("_items").alias("_item")).groupBy(*keys).agg(F.array_sort(F.collect_set("_item")).alias("left"))
     whole = small.groupBy("left").agg(F.count(F.lit(1)).alias("weight")).select("left", F.col("left").alias("right"), "weight", F.lit(True).alias("same"), F.lit(True).alias("whole"))
-    dealt = each.join(large, keys).distinct().withColumn("_k", F.pmod(F.xxhash64("_item"), F.col("_c")).cast("int"))
+    dealt = rows.join(large, keys).select(*keys, "_c", F.explode("_items").alias("_item")).distinct().withColumn("_k", F.pmod(F.xxhash64("_item"), F.col("_c")).cast("int"))
     sent = dealt.select(*keys, "_item", "_k", F.explode(F.sequence(F.lit(0), F.col("_c") - 1)).alias("_o"))
     side = lambda belongs: F.array_sort(F.collect_set(F.when(belongs, F.col("_item"))))
     met = sent.groupBy(*keys, F.least("_k", "_o").alias("_i"), F.greatest("_k", "_o").alias("_j")).agg(side(F.col("_k") <= F.col("_o")).alias("left"), side(F.col("_k") >= F.col("_o")).alias("right"))
@@ -58,9 +58,9 @@ def associations(df: DataFrame, keys: list[str], items: str, chunk: int = 16) ->
 
     An empty table gives no rows; a basket of one item gives no pair but counts in ``n_a`` and ``n_all``.
     """
-    each = basket_items(df, keys, items)
-    large = large_baskets(each, keys, chunk)
-    products = materialize(chunk_products(each, keys, large), "products")
+    rows = basket_rows(df, keys, items)
+    large = large_baskets(rows, keys, chunk)
+    products = materialize(chunk_products(rows, keys, large), "products")
     # Every item of a basket stands in just one product that is a basket or a chunk with itself.
     single = materialize(products.filter("same").select(F.explode("left").alias("item"), "weight").groupBy("item").agg(F.sum("weight").alias("n")), "items")
     total = products.filter("whole").select("weight").unionByName(large.select(F.lit(1).cast("long").alias("weight"))).agg(F.sum("weight").alias("n_all"))

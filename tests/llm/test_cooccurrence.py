@@ -35,7 +35,7 @@ def test_nulls_repeats_clashing_names_and_empty_tables(spark):
 
 
 def test_a_huge_basket_is_never_gathered(spark):
-    each = spark.range(1000).select(F.lit("b").alias("k"), F.lpad(F.col("id").cast("string"), 4, "0").alias("_item"))
+    each = spark.range(1000).select(F.lit("b").alias("k"), F.array(F.lpad(F.col("id").cast("string"), 4, "0")).alias("_items"))
     products = co.chunk_products(each, ["k"], co.large_baskets(each, ["k"], 100))
     sizes = products.agg(F.count(F.lit(1)), F.max(F.greatest(F.size("left"), F.size("right")))).collect()[0]
     assert sizes[0] == 55 and sizes[1] < 150  # ten chunks, dealt by hash
