@@ -6,6 +6,10 @@ version folder, and one manifest of the next number publishes data and index tog
 the published version untouched, a batch that is applied again under its ``batch_id`` changes nothing, and of two writers
 that start from one version the later to publish fails and can start again from what the other left.
 
+The first batch, with no index to go by, moves its whole rows once: keys and ordering columns alone settle in which
+partition each key lives and how many copies it has, whole rows go to the partitions that they name, and of a key with
+copies in several only the winner stays.
+
 The index (key and partition) is dealt into buckets by a hash of the key; a batch reads the buckets its keys fall into.
 """
 
@@ -13,6 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,35 +25,55 @@ from pyspark.sql import functions as F
 
 NO_PARTITION = "__none__"
 MOST_INDEX_PARTS = 16  # a bucket of the index in more pieces is rewritten as one
+TASK_ROWS = 25_000, 200_000  # rows that a task folds: fewer are not worth a task, more do not fit its memory for sure
 
 
 class ConcurrentWrite(RuntimeError):
     """Another writer has published the version that this one was about to."""
 
 
-def fold(df: DataFrame, keys: list[str], order: list[Column | str], copies: Column, extra: list[str] | None = None, total_order: bool = False) -> DataFrame:
+def _marks(df: DataFrame, order: list[Column | str], rest: list[str], total_order: bool) -> list[Column]:
+    """What rows are ordered by: ``order``, then a hash of the columns ``rest`` unless there are no ties."""
+    marks = [F.col(o) if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(order)]
+    hashed = [c for c in rest if c not in _loose(df, rest)]
+    return marks if total_order or not hashed else [*marks, F.xxhash64(*hashed).alias("_tie")]
+
+
+def _loose(df: DataFrame, columns: list[str]) -> list[str]:
+    """Columns whose values have no order."""
+    return [c for c in columns if df.schema[c].dataType.typeName() in ("map", "variant")]
+
+
+def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
+    return df
+
+
+def fold(df: DataFrame, keys: list[str], order: list[Column | str], copies: Column, extra: list[str] | None = None, total_order: bool = False, known: str | None = None) -> DataFrame:
     """One row per key: the row greatest by ``order`` (NULL lowest) and ``n_copies``.
 
     An algebraic maximum, combined before the shuffle: a key with a third of all rows sends one row per map task. Rows in
     which a key is NULL cannot be told apart from others and are dropped. Columns named in ``order`` stand in the ordering
     only and every other column behind it, so that each travels once. Full ties are broken by a hash of all columns, or left
-    out of account where ``total_order`` says that there are none.
+    out of account where ``total_order`` says that there are none. A row whose column ``known`` is not NULL is no copy: it says
+    how many copies its key has, and with 0 that the key is not to come out.
     """
     extra = extra or []
-    rest = [c for c in df.columns if c not in (*keys, *extra, "n_copies")]
-    loose = [c for c in rest if df.schema[c].dataType.typeName() in ("map", "variant")]  # these have no order
+    rest = [c for c in df.columns if c not in (*keys, *extra, "n_copies", known)]
     named = [o for o in order if isinstance(o, str)]
-    marks = [F.col(o) if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(order)]
-    if not total_order and len(loose) < len(rest):
-        marks.append(F.xxhash64(*[c for c in rest if c not in loose]).alias("_tie"))
-    if loose:
+    marks = _marks(df, order, rest, total_order)
+    n_copies = F.sum(copies)
+    if known:
+        marks.insert(0, F.col(known).isNull().alias("_copy"))
+        n_copies = F.coalesce(F.max(known), n_copies)
+    if _loose(df, rest):
         best = F.max_by(F.struct(*rest), F.struct(*[m.alias(f"_m{i}") for i, m in enumerate(marks)]))
     else:
         best = F.max(F.struct(*marks, *[c for c in rest if c not in named]))
-    known = df
-    for key in keys:
-        known = known.filter(F.col(key).isNotNull())
-    out = known.groupBy(*keys, *extra).agg(best.alias("_best"), F.sum(copies).cast("long").alias("n_copies"))
+    out = _keyed(df, keys).groupBy(*extra, *keys).agg(best.alias("_best"), n_copies.cast("long").alias("n_copies"))
+    if known:
+        out = out.filter(F.col("n_copies") > 0)
     return out.select(*keys, *extra, *[F.col("_best")[c].alias(c) for c in rest], "n_copies")
 
 
@@ -57,7 +82,7 @@ class MessageStore:
     """One winner per key under ``path``; ``partition`` names the column whose first seen value places a key for good.
 
     ``order`` and ``total_order`` are those of ``fold``. ``buckets`` is the number of parts of the index, fixed when the
-    store is made; ``rows_per_file`` about what a task writes of one partition.
+    store is made; ``rows_per_file`` at most about what a task writes of one partition.
     """
 
     spark: SparkSession
@@ -135,21 +160,18 @@ class MessageStore:
         known, label = self._manifest["parts"], f"_version={self._manifest['version'] + 1}-{uuid.uuid4().hex[:8]}"  # no two writers share a folder
         batches = [*self._manifest["batches"], batch_id]
         own = F.coalesce(F.nullif(F.col(self.partition).cast("string"), F.lit("")), F.lit(NO_PARTITION))
-        incoming = fold(batch, self.keys, self.order, F.lit(1), total_order=self.total_order)
-        out, retired, indexed = f"{self.path}/data/{label}", [], dict(self._manifest["index"])
+        keyed, stage = _keyed(batch, self.keys), f"{self.path}/stage/{label}"
+        schema = ", ".join(f"`{k}` {batch.schema[k].dataType.simpleString()}" for k in self.keys) + ", _part string"
+        out, retired, indexed = f"{self.path}/data/{label}", [f"stage/{label}"], dict(self._manifest["index"])
+        touched = sorted(r[0] for r in keyed.select(self._bucket().alias("b")).distinct().collect())  # one number per bucket at most
+        if not touched:
+            self._publish(batches=batches, retired=[])
+            return []
         if not known:
-            incoming.withColumn("_part", own).hint("rebalance", F.col("_part")).write.mode("overwrite").partitionBy("_part").parquet(out)
-            new_keys = self.spark.read.parquet(out).select(*self.keys, "_part")
+            self._first(keyed, own, stage).write.mode("overwrite").partitionBy("_part").parquet(out)
+            new_keys = self.spark.read.schema(schema).parquet(out)
         else:
-            keyed = batch
-            for key in self.keys:
-                keyed = keyed.filter(F.col(key).isNotNull())
-            touched = sorted(r[0] for r in keyed.select(self._bucket().alias("b")).distinct().collect())  # one number per bucket at most
-            if not touched:
-                self._publish(batches=batches, retired=[])
-                return []
-            schema = ", ".join(f"`{k}` {batch.schema[k].dataType.simpleString()}" for k in self.keys) + ", _part string"
-            stage = f"{self.path}/stage/{label}"
+            incoming = fold(batch, self.keys, self.order, F.lit(1), total_order=self.total_order)
             # The fold leaves candidates spread by key, so only the narrow index is shuffled to meet them.
             incoming.join(self._index(touched, schema), self.keys, "left").withColumn("_part", F.coalesce("_old", own)).write.mode("overwrite").parquet(stage)
             staged = self.spark.read.parquet(stage)
@@ -161,7 +183,6 @@ class MessageStore:
                     retired += [f"index/{old}/_bucket={b}" for old in indexed.pop(str(b))]
             merged = self._merged(staged.drop("_old"))
             merged.write.mode("overwrite").partitionBy("_part").parquet(out)
-            retired.append(f"stage/{label}")
         new_keys.withColumn("_bucket", self._bucket()).hint("rebalance", F.col("_bucket")).write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/index/{label}")
         for b in self._written(f"index/{label}"):
             indexed[b] = [*indexed.get(b, []), label]
@@ -179,9 +200,48 @@ class MessageStore:
             for r in old.groupBy("_part").count().collect():
                 counts[r["_part"]] += r["count"]
         both = staged if old is None else old.select(*staged.columns).unionByName(staged)
-        spread = self.spark.createDataFrame([(p, -(-n // self.rows_per_file)) for p, n in counts.items()], "_part string, _files long")
-        both = both.join(F.broadcast(spread), "_part").withColumn("_sub", F.pmod(F.xxhash64(*self.keys), "_files")).drop("_files")
-        return fold(both.repartition("_part", "_sub"), self.keys, self.order, F.col("n_copies"), ["_part", "_sub"], self.total_order).drop("_sub")
+        return fold(self._spread(both, counts), self.keys, self.order, F.col("n_copies"), ["_part", "_task"], self.total_order).drop("_task")
+
+    def _spread(self, rows: DataFrame, counts: dict[str, int]) -> DataFrame:
+        """Rows dealt to tasks (``_task``) of about as many rows: large partitions are split by key, small ones share a task."""
+        low, high = TASK_ROWS
+        most = min(self.rows_per_file, high, max(low, -(-sum(counts.values()) // self.spark.sparkContext.defaultParallelism)))
+        dealt, task, taken = [], 0, 0
+        for part, n in sorted(counts.items()):
+            if taken and taken + n > most:
+                task, taken = task + 1, 0
+            files = -(-n // most)
+            dealt.append((part, files, task))
+            task, taken = (task + files, 0) if files > 1 else (task, taken + n)
+        spread = self.spark.createDataFrame(dealt, "_part string, _files long, _first long")
+        numbered = rows.join(F.broadcast(spread), "_part").withColumn("_task", (F.col("_first") + F.pmod(F.xxhash64(*self.keys), "_files")).cast("int"))
+        return numbered.drop("_files", "_first").repartitionById(task + bool(taken), F.col("_task"))
+
+    def _first(self, batch: DataFrame, own: Column, stage: str) -> DataFrame:
+        """The partitions of a store that was empty; whole rows are shuffled once, to the partition that each names.
+
+        A narrow fold finds each key's home, the partition of its winner. Of keys with copies in several partitions a note
+        goes to each: the number of all copies to the home, 0 to the others, which then drop theirs. Keys with more copies
+        than a task should get (there are at most rows over that number of such keys) are combined before the shuffle.
+        """
+        marks = _marks(batch, self.order, [c for c in batch.columns if c not in (*self.keys, "n_copies")], self.total_order)
+        homes = batch.groupBy(*self.keys).agg(F.max(F.struct(*marks, own.alias("_home")))["_home"].alias("_home"), F.count(F.lit(1)).alias("_known"), F.collect_set(own).alias("_parts"))
+        crowd = F.col("_known") > min(self.rows_per_file, TASK_ROWS[1])
+        homes.filter((F.size("_parts") > 1) | crowd).write.mode("overwrite").parquet(stage)
+        noted = self.spark.read.schema(homes.schema).parquet(stage)
+        rows, hot = batch.withColumn("n_copies", F.lit(1).cast("long")), noted.filter(crowd)
+        hot_homes = {r["_home"]: r["count"] for r in hot.groupBy("_home").count().collect()}
+        combined = None
+        if hot_homes:
+            these = F.broadcast(hot.select(*self.keys))
+            combined = fold(rows.join(these, self.keys, "left_semi"), self.keys, self.order, F.col("n_copies"), total_order=self.total_order)
+            rows = rows.join(these, self.keys, "left_anti")
+        counts = Counter(hot_homes) + Counter({r["_part"]: r["count"] for r in rows.groupBy(own.alias("_part")).count().collect()})  # one number per partition of the store
+        rows = (rows if combined is None else rows.unionByName(combined)).withColumn("_part", own)
+        notes = noted.filter(~crowd).withColumn("_part", F.explode("_parts"))
+        notes = notes.select(*self.keys, F.coalesce("_part", F.lit(NO_PARTITION)).alias("_part"), F.when(F.col("_part") == F.col("_home"), F.col("_known")).otherwise(F.lit(0)).alias("_known"))
+        both = self._spread(rows.unionByName(notes, allowMissingColumns=True), counts)
+        return fold(both, self.keys, self.order, F.col("n_copies"), ["_part", "_task"], self.total_order, "_known").drop("_task")
 
     def _written(self, folder: str) -> list[str]:
         """Values of the partition folders of a table just written."""

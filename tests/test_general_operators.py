@@ -100,6 +100,60 @@ def test_store_result_does_not_depend_on_batches(spark):
     assert rows(one.read(), "id", "body", "n_copies") == rows(many.read(), "id", "body", "n_copies")
 
 
+def test_first_load_moves_whole_rows_once(spark):
+    rng = np.random.default_rng(5)
+    data = [(f"k{i}", None, i, f"{i % 5}", rng.bytes(400).hex()) for i in range(3000)]
+    batch = spark.createDataFrame([*data, *[(k, 1, i, "7", body) for k, _, i, _, body in data[:30]]], MESSAGES)
+    s = _store(spark)
+    spark.sparkContext.setJobGroup("first load", "")
+    s.apply(batch, "1")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
+    stages = {k for job in tracker.getJobIdsForGroup("first load") for k in tracker.getJobInfo(job).stageIds}
+    moved = sum(store.lastStageAttempt(k).shuffleWriteBytes() for k in stages)
+    assert sum(len(r[4]) for r in data) < moved < 1.5 * sum(len(r[4]) for r in data)
+    assert s.read().count() == 3000 and s.read().filter("n_copies = 2 and month = '7'").count() == 30
+
+
+@pytest.mark.parametrize("rows_per_file", [1_000_000, 5])
+def test_first_load_of_keys_in_several_partitions_hot_keys_and_ties(spark, rows_per_file):
+    rng = np.random.default_rng(rows_per_file)
+    keys = [f"k{rng.integers(40)}" if i % 3 else "hot" for i in range(300)]  # with 5 rows a file, many are combined ahead
+    data = [(k, int(rng.integers(3)) if rng.random() < 0.5 else None, int(rng.integers(3)), [None, "", "a", "b", "c"][rng.integers(5)], f"b{i}", {"k": i}) for i, k in enumerate(keys)]
+    data += [(None, 1, 1, "a", "no id", None), ("bare", None, None, None, None, None)]
+    batch = spark.createDataFrame(data, MESSAGES + ", m map<string,int>")
+    s, t = (exactly_once.MessageStore(spark, fresh_path(spark, "t"), ["id"], ORDER(), "month", rows_per_file=rows_per_file) for _ in range(2))
+    for store, own in ((s, batch), (t, batch.drop("m"))):
+        written = store.apply(own, "1")
+        want = exactly_once.fold(own, ["id"], ORDER(), F.lit(1))
+        got = store.read()
+        assert rows(got, *want.columns) == rows(want)
+        home = F.coalesce(F.nullif("month", F.lit("")), F.lit(exactly_once.NO_PARTITION))
+        homes = {r[0]: r[1] for r in want.select("id", home).collect()}
+        assert written == sorted(set(homes.values()))
+        for part in written:  # each key lies in its winner's partition, in the data and in the index
+            assert {r["id"] for r in store._read_parts([part]).collect()} == {k for k, p in homes.items() if p == part}
+        assert {r["id"]: r["_old"] for r in store._index(list(range(64)), "id string, _part string").collect()} == homes
+
+
+def test_rows_are_dealt_evenly_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(exactly_once, "TASK_ROWS", (1, 100))
+    s = _store(spark)
+    parts = ["a"] * 450 + ["b"] * 60 + ["c"] * 30 + ["d"] * 100 + ["e"]
+    dealt = s._spread(spark.createDataFrame([(f"k{i}", p) for i, p in enumerate(parts)], "id string, _part string"), {p: parts.count(p) for p in "abcde"})
+    got = dealt.groupBy(F.spark_partition_id().alias("t"), "_task", "_part").count().collect()
+    assert all(r["t"] == r["_task"] for r in got) and sum(r["count"] for r in got) == len(parts)
+    assert [sorted({r["_task"] for r in got if r["_part"] == p}) for p in "abcde"] == [[0, 1, 2, 3, 4], [5], [5], [6], [7]]
+    assert max(sum(r["count"] for r in got if r["t"] == t) for t in range(8)) < 130
+
+
+def test_an_empty_first_batch_leaves_the_store_empty(spark):
+    s = _store(spark)
+    assert s.apply(spark.createDataFrame([(None, 1, 1, "01", "no id")], MESSAGES), "1") == []
+    s.apply(spark.createDataFrame([("a", None, 1, "01", "x")], MESSAGES), "2")
+    assert rows(s.read(), "id", "n_copies") == [("a", 1)]
+
+
 def test_fold_breaks_full_ties_by_the_other_columns_whatever_the_order(spark):
     data = [("a", 1, b) for b in "pqrs"]
     fold = lambda part: rows(exactly_once.fold(spark.createDataFrame(part, "id string, o int, body string").coalesce(1), ["id"], [F.col("o")], F.lit(1)), "body", "n_copies")
